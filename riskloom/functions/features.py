@@ -1,105 +1,101 @@
-"""The 32 behavioural features as column expressions over a clean account row."""
+"""The 32 behavioural features as SQL expressions over a clean account row."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from riskloom.functions.months import (
+    BILL,
+    MONTHS,
+    PAY,
+    PAY_STATUS,
+    count_where,
+    greatest,
+    ratio,
+    total,
+)
 
-from riskloom.functions.months import BILL, MONTHS, PAY, PAY_STATUS, count_where, ratio, total
 
-
-def utilization(i: int) -> Column:
+def utilization(i: int) -> str:
     """Share of the limit drawn in month ``i``."""
-    return ratio(F.col(f"bill_amt_{i}"), F.col("limit_bal"))
+    return ratio(f"bill_amt_{i}", "limit_bal")
 
 
-def payment_ratio(i: int) -> Column:
+def payment_ratio(i: int) -> str:
     """Payment of month ``i`` against the statement it settles, that of month ``i + 1``."""
-    return ratio(F.col(f"pay_amt_{i}"), F.col(f"bill_amt_{i + 1}"))
-
+    return ratio(f"pay_amt_{i}", f"bill_amt_{i + 1}")
 
-def _mean_bill() -> Column:
-    return total(F.col(b) for b in BILL) / 6.0
 
+MEAN_BILL = f"({total(BILL)} / 6.0D)"
 
-def bill_second_moment() -> Column:
-    return total(F.col(b) * F.col(b) for b in BILL) / 6.0
 
-
-def _bill_volatility() -> Column:
+def _bill_volatility() -> str:
     # Deviations from the mean, not E[b^2] - E[b]^2: the difference of two squares
     # loses every digit when balances are large and steady.
-    mean = _mean_bill()
-    return F.sqrt(total((F.col(b) - mean) * (F.col(b) - mean) for b in BILL) / 6.0)
-
+    squares = (f"({b} - {MEAN_BILL}) * ({b} - {MEAN_BILL})" for b in BILL)
+    return f"sqrt({total(squares)} / 6.0D)"
 
-def _flag(test: Column) -> Column:
-    return F.when(test, 1).otherwise(0)
 
-
-def helper_columns() -> dict[str, Column]:
+def helper_columns() -> dict[str, str]:
     """Per-month columns the features are built from."""
     return {
         **{f"utilization_{i}": utilization(i) for i in MONTHS},
         **{f"payment_ratio_{i}": payment_ratio(i) for i in MONTHS[:-1]},
-        "avg_bill_amt_sq": bill_second_moment(),
+        "avg_bill_amt_sq": f"{total(f'{b} * {b}' for b in BILL)} / 6.0D",
     }
 
 
-def demographic_features() -> dict[str, Column]:
-    return {c: F.col(c) for c in ("limit_bal", "education", "marriage", "age")}
+def demographic_features() -> dict[str, str]:
+    return {c: c for c in ("limit_bal", "education", "marriage", "age")}
 
 
-def status_features() -> dict[str, Column]:
-    return {c: F.col(c) for c in PAY_STATUS}
+def status_features() -> dict[str, str]:
+    return {c: c for c in PAY_STATUS}
 
 
-def utilization_features() -> dict[str, Column]:
+def utilization_features() -> dict[str, str]:
     return {
-        "avg_utilization": total(utilization(i) for i in MONTHS) / 6.0,
-        "max_utilization": F.greatest(*(utilization(i) for i in MONTHS)),
-        "utilization_trend": utilization(1) - utilization(6),
-        "credit_headroom": ratio(F.col("limit_bal") - F.col("bill_amt_1"), F.col("limit_bal")),
+        "avg_utilization": f"{total(utilization(i) for i in MONTHS)} / 6.0D",
+        "max_utilization": greatest(utilization(i) for i in MONTHS),
+        "utilization_trend": f"{utilization(1)} - {utilization(6)}",
+        "credit_headroom": ratio("(limit_bal - bill_amt_1)", "limit_bal"),
     }
 
 
-def payment_features() -> dict[str, Column]:
-    paid = total(F.col(p) for p in PAY)
+def payment_features() -> dict[str, str]:
     # Six payments over five statements; NULL for an account nobody billed.
-    billed = total(F.col(b) for b in BILL[1:])
-    settled = (F.coalesce(payment_ratio(i), F.lit(0.0)) for i in MONTHS[:-1])
+    billed = total(BILL[1:])
+    settled = total(f"coalesce({payment_ratio(i)}, 0.0D)" for i in MONTHS[:-1])
     return {
-        "avg_payment_ratio": total(settled) / 5.0,
-        "overall_payment_ratio": ratio(paid, billed),
+        "avg_payment_ratio": f"{settled} / 5.0D",
+        "overall_payment_ratio": ratio(total(PAY), billed),
         # Also 0 when positive and negative statements cancel out.
-        "has_billing_history": _flag(billed != 0),
-        "months_zero_payment": count_where(PAY, lambda c: c == 0),
-        "total_paid_6m": paid,
+        "has_billing_history": f"if({billed} <> 0, 1, 0)",
+        "months_zero_payment": count_where(PAY, "= 0"),
+        "total_paid_6m": total(PAY),
     }
 
 
-def delinquency_features() -> dict[str, Column]:
-    late = count_where(PAY_STATUS, lambda c: c >= 1)
+def delinquency_features() -> dict[str, str]:
+    late = count_where(PAY_STATUS, ">= 1")
     return {
-        "recent_delinquency": F.col("pay_status_1"),
-        "max_delinquency": F.greatest(*PAY_STATUS),
+        "recent_delinquency": "pay_status_1",
+        "max_delinquency": greatest(PAY_STATUS),
         "months_delinquent": late,
-        "delinquency_trend": F.col("pay_status_1") - F.col("pay_status_6"),
-        "months_revolving": count_where(PAY_STATUS, lambda c: c == 0),
-        "months_paid_duly": count_where(PAY_STATUS, lambda c: c == -1),
-        "months_no_consumption": count_where(PAY_STATUS, lambda c: c == -2),
-        "ever_delinquent": _flag(late > 0),
+        "delinquency_trend": "pay_status_1 - pay_status_6",
+        "months_revolving": count_where(PAY_STATUS, "= 0"),
+        "months_paid_duly": count_where(PAY_STATUS, "= -1"),
+        "months_no_consumption": count_where(PAY_STATUS, "= -2"),
+        "ever_delinquent": f"if({late} > 0, 1, 0)",
     }
 
 
-def dynamics_features() -> dict[str, Column]:
-    over = count_where(BILL, lambda c: c > F.col("limit_bal"))
+def dynamics_features() -> dict[str, str]:
+    over = count_where(BILL, "> limit_bal")
     return {
-        "avg_bill_amt": _mean_bill(),
+        "avg_bill_amt": MEAN_BILL,
         "bill_volatility": _bill_volatility(),
         "months_over_limit": over,
-        "ever_over_limit": _flag(over > 0),
-        "net_balance_ratio": ratio(F.col("bill_amt_1") - F.col("pay_amt_1"), F.col("limit_bal")),
+        "ever_over_limit": f"if({over} > 0, 1, 0)",
+        "net_balance_ratio": ratio("(bill_amt_1 - pay_amt_1)", "limit_bal"),
     }
 
 
@@ -113,6 +109,11 @@ FAMILIES = {
 }
 
 
-def all_features() -> dict[str, Column]:
+def all_features() -> dict[str, str]:
     """Every feature by name, in output order."""
-    return {name: column for family in FAMILIES.values() for name, column in family().items()}
+    return {name: text for family in FAMILIES.values() for name, text in family().items()}
+
+
+def aliased(columns: dict[str, str]) -> list[str]:
+    """``selectExpr`` arguments."""
+    return [name if text == name else f"{text} AS {name}" for name, text in columns.items()]

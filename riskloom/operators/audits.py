@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.months import PAY, total
@@ -48,29 +48,20 @@ def split_moves(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def skew_audit(served: DataFrame, stored: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per feature: rows compared, rows that differ (NULL equals NULL), largest gap."""
-
-    def as_double(side: str, name: str) -> Column:
-        return F.col(f"{side}.{name}").cast("double")
-
-    joined = served.alias("a").join(stored.alias("b"), F.col("a.client_id") == F.col("b.client_id"))
+    mine = served.selectExpr("client_id", *(f"cast({c} as double) AS a{k}" for k, c in enumerate(columns)))
+    other = stored.selectExpr("client_id", *(f"cast({c} as double) AS b{k}" for k, c in enumerate(columns)))
     # Counted wide, one aggregate per column, so no row is multiplied by the features.
-    aggregates = [F.count("*").alias("rows")]
-    for k, name in enumerate(columns):
-        a, b = as_double("a", name), as_double("b", name)
-        aggregates.append(F.count_if(~a.eqNullSafe(b)).alias(f"differ{k}"))
-        aggregates.append(F.coalesce(F.max(F.abs(a - b)), F.lit(0.0)).alias(f"gap{k}"))
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(name).alias("feature"),
-                F.col("rows").alias("n"),
-                F.col(f"differ{k}").alias("differing"),
-                F.col(f"gap{k}").alias("max_abs_diff"),
-            )
-            for k, name in enumerate(columns)
-        )
+    aggregates = ["count(*) AS n"]
+    for k in range(len(columns)):
+        aggregates.append(f"count_if(NOT a{k} <=> b{k}) AS differ{k}")
+        aggregates.append(f"coalesce(max(abs(a{k} - b{k})), 0.0D) AS gap{k}")
+    rows = ", ".join(
+        f"named_struct('feature', '{c}', 'n', n, 'differing', differ{k}, 'max_abs_diff', gap{k})"
+        for k, c in enumerate(columns)
+    )
+    return mine.join(other, "client_id").agg(*map(F.expr, aggregates)).selectExpr(
+        f"inline(array({rows}))"
     )
-    return joined.agg(*aggregates).select(F.inline(rows))
 
 
 def check_no_skew(audit: DataFrame, tolerance: float = 1e-9) -> None:
@@ -105,7 +96,7 @@ def loss_given_default(clean: DataFrame, recovery: float = RECOVERY) -> DataFram
 
 def payment_flow(clean: DataFrame) -> DataFrame:
     """Mean monthly payment of the accounts that did not default."""
-    paid = total(F.col(p) for p in PAY) / 6.0
+    paid = F.expr(f"{total(PAY)} / 6.0D")
     good = clean.filter("default_next_month = 0")
     return good.agg(F.count("*").alias("n"), F.avg(paid).alias("mean_monthly_payment"))
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.config import Monitoring
@@ -48,27 +48,25 @@ def shared_features(
 
 def _plain(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """The features as doubles with NaN as NULL."""
-    out = {}
-    for name in features:
-        x = F.col(name).cast("double")
-        out[name] = F.when(~F.isnan(x), x)
-    return df.withColumns(out)
+    double = {f: f"cast({f} as double)" for f in features}
+    return df.withColumns({f: F.expr(f"if(isnan({x}), null, {x})") for f, x in double.items()})
 
 
 def bin_count_aggregates(edges: dict[str, Sequence[float] | None]) -> list[Column]:
     """Row count, and per feature the valid values, their mean and how many reach each
     inner edge. A bin's count is the difference of two neighbours, so every row is
     compared once per edge."""
-    out = [F.count("*").alias("rows")]
+    out = ["count(*) AS rows"]
     for name, inner in edges.items():
-        out.append(F.count(name).alias(f"valid__{name}"))
-        out.append(F.avg(name).alias(f"mean__{name}"))
-        for b, edge in enumerate(inner or ()):
-            out.append(F.count_if(F.col(name) >= edge).alias(f"reach__{name}__{b}"))
-    return out
+        out += [f"count({name}) AS valid__{name}", f"avg({name}) AS mean__{name}"]
+        out += [
+            f"count_if({name} >= double('{edge!r}')) AS reach__{name}__{b}"
+            for b, edge in enumerate(inner or ())
+        ]
+    return [F.expr(text) for text in out]
 
 
-def _bin_counts(reach: list) -> list:
+def _bin_counts(reach: Sequence[int]) -> list[int]:
     """Counts per half-open bin from the numbers that reach its lower bound."""
     return [a - b for a, b in zip(reach, [*reach[1:], 0])]
 
@@ -122,35 +120,40 @@ def classify(psi: Column, monitoring: Monitoring | None = None) -> Column:
     )
 
 
-def _doubles(values: Sequence[float | None]) -> Column:
-    return F.array(*(F.lit(v).cast("double") for v in values)).cast("array<double>")
+PROFILE_ROW = (
+    "feature string, known boolean, constant_baseline boolean, baseline_mean double, "
+    "baseline_n bigint, lower array<double>, upper array<double>, expected array<double>"
+)
+
+
+def profile_frame(spark: SparkSession, profile: Profile) -> DataFrame:
+    """The baseline as a table, one row per feature."""
+    rows = []
+    for f in profile:
+        n, inner = len(f.counts), list(f.edges or ())
+        shares = [max(c / f.valid, EPSILON) for c in f.counts]
+        bounds = [None, *inner][:n], [*inner, None][:n]
+        rows.append((f.name, f.edges is not None, f.constant, f.mean, f.rows, *bounds, shares))
+    return spark.createDataFrame(rows, PROFILE_ROW)
 
 
 def _by_feature(profile: Profile, traffic: DataFrame, by: Sequence[str]) -> DataFrame:
     """One row per feature and group, its bins as arrays of ten or so values."""
-    rows = []
+    structs = []
     for f in profile:
-        inner = f.edges or ()
-        reach = [F.col(f"valid__{f.name}")]
-        reach += [F.col(f"reach__{f.name}__{b}") for b in range(len(inner))]
-        counts = _bin_counts(reach) if inner else []
-        rows.append(
-            F.struct(
-                F.lit(f.name).alias("feature"),
-                F.lit(f.edges is not None).alias("known"),
-                F.lit(f.constant).alias("constant_baseline"),
-                F.lit(f.mean).cast("double").alias("baseline_mean"),
-                F.lit(f.rows).cast("bigint").alias("baseline_n"),
-                _doubles([None, *inner][: len(counts)]).alias("lower"),
-                _doubles([*inner, None][: len(counts)]).alias("upper"),
-                _doubles([max(c / f.valid, EPSILON) for c in f.counts]).alias("expected"),
-                F.array(*counts).cast("array<bigint>").alias("counts"),
-                F.col(f"valid__{f.name}").alias("valid"),
-                F.col(f"mean__{f.name}").alias("current_mean"),
-                F.col("rows").alias("current_n"),
-            )
+        reach = [f"valid__{f.name}", *(f"reach__{f.name}__{b}" for b in range(len(f.edges or ())))]
+        bins = [f"{a} - {b}" for a, b in zip(reach, [*reach[1:], "0"])][: len(f.counts)]
+        structs.append(
+            f"named_struct('feature', '{f.name}', 'valid', valid__{f.name}, "
+            f"'current_mean', mean__{f.name}, "
+            f"'counts', cast(array({', '.join(bins)}) as array<bigint>))"
         )
-    return traffic.select(*by, F.explode(F.array(*rows)).alias("r")).select(*by, "r.*")
+    per_feature = traffic.selectExpr(
+        *by, "rows AS current_n", f"inline(array({', '.join(structs)}))"
+    )
+    # One row per tracked feature: small enough to broadcast whatever the traffic.
+    baseline = F.broadcast(profile_frame(traffic.sparkSession, profile))
+    return per_feature.join(baseline, "feature")
 
 
 def _actual(count: Column, valid: Column) -> Column:

@@ -14,7 +14,7 @@ from riskloom.operators.clean import clean_rows
 from riskloom.operators.features import features
 from riskloom.operators.joins import join_hot_split
 from riskloom.operators.ranks import exact_quantiles
-from riskloom.sources.panel import fixture_score
+from riskloom.sources.panel import FIXTURE_SCORE
 
 # Accepted range of each request field as (lowest, highest).
 MONEY = (-1_000_000, 100_000_000)
@@ -38,22 +38,22 @@ RAW_INPUTS = ("bill_amt_1", "pay_amt_1")
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def _violation(name: str) -> Column:
+def _in_bounds(name: str) -> str:
     low, high = BOUNDS[name]
-    value = F.col(name)
-    bad = value.isNull()
+    tests = [f"{name} IS NOT NULL"]
     if low is not None:
-        bad = bad | (value < low)
+        tests.append(f"{name} >= {low}")
     if high is not None:
-        bad = bad | (value > high)
+        tests.append(f"{name} <= {high}")
     if name == "limit_bal":
-        bad = bad | (value <= 0)
-    return bad
+        tests.append(f"{name} > 0")
+    return f"({' AND '.join(tests)})"
 
 
 def rejection_reasons() -> Column:
     """Names of the fields out of bounds; empty for a valid request."""
-    return F.array_compact(F.array(*(F.when(_violation(n), F.lit(n)) for n in BOUNDS)))
+    names = ", ".join(f"if({_in_bounds(n)}, null, '{n}')" for n in BOUNDS)
+    return F.expr(f"array_compact(array({names}))")
 
 
 def validate_requests(requests: DataFrame) -> DataFrame:
@@ -63,11 +63,7 @@ def validate_requests(requests: DataFrame) -> DataFrame:
 
 def accepted(requests: DataFrame) -> DataFrame:
     """Requests with every field in bounds."""
-    checks = None
-    for name in BOUNDS:
-        ok = ~_violation(name)
-        checks = ok if checks is None else checks & ok
-    return requests.filter(checks)
+    return requests.filter(" AND ".join(_in_bounds(n) for n in BOUNDS))
 
 
 def quarantined(requests: DataFrame) -> DataFrame:
@@ -138,8 +134,7 @@ def require_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def fixture_scorer(features_df: DataFrame) -> DataFrame:
     """Closed-form score of the newest status and utilisation."""
-    score = fixture_score(F.col("pay_status_1"), F.col("bill_amt_1"), F.col("limit_bal"))
-    return features_df.withColumn("p", score)
+    return features_df.selectExpr("*", f"{FIXTURE_SCORE} AS p")
 
 
 def decide(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -16,10 +16,8 @@ class FeatureValidationError(ValueError):
     """The feature table breaks an invariant."""
 
 
-def _check(name: str, column: str, bad: Column) -> Column:
-    return F.struct(
-        F.lit(name).alias("check"), F.lit(column).alias("column"), bad.cast("bigint").alias("bad_rows")
-    )
+def _check(name: str, column: str, bad: str) -> str:
+    return f"named_struct('check', '{name}', 'column', '{column}', 'bad_rows', cast({bad} as bigint))"
 
 
 def validation_report(df: DataFrame, target: str = "default_next_month") -> DataFrame:
@@ -27,50 +25,47 @@ def validation_report(df: DataFrame, target: str = "default_next_month") -> Data
 
     A check on the whole table (empty, degenerate rate, splits) counts 1 when it fails.
     """
-    aggregates: dict[str, Column] = {"rows": F.count("*")}
-    checks = [_check("empty_table", "*", (F.col("rows") == 0).cast("int"))]
+    aggregates = {"rows": "count(*)"}
+    checks = [_check("empty_table", "*", "if(rows = 0, 1, 0)")]
 
     if target in df.columns:
-        y = F.col(target)
-        aggregates["odd_labels"] = F.count_if(~y.isin(0, 1))
-        aggregates["rate"] = F.avg(y.cast("double"))
-        degenerate = ~F.coalesce((F.col("rate") > MIN_RATE) & (F.col("rate") < MAX_RATE), F.lit(False))
+        aggregates["odd_labels"] = f"count_if({target} NOT IN (0, 1))"
+        aggregates["rate"] = f"avg(cast({target} as double))"
+        healthy = f"coalesce(rate > {MIN_RATE}D AND rate < {MAX_RATE}D, false)"
         checks += [
-            _check("binary_target", target, F.col("odd_labels")),
-            _check("positive_rate", target, degenerate.cast("int")),
+            _check("binary_target", target, "odd_labels"),
+            _check("positive_rate", target, f"if({healthy}, 0, 1)"),
         ]
     else:
-        checks.append(_check("target_present", target, F.lit(1)))
+        checks.append(_check("target_present", target, "1"))
 
     if "split_name" in df.columns:
-        split = F.col("split_name")
-        aggregates["odd_splits"] = F.count_if(~F.coalesce(split.isin(*SPLITS), F.lit(False)))
-        missing = F.lit(0)
+        known = ", ".join(f"'{name}'" for name in SPLITS)
+        aggregates["odd_splits"] = f"count_if(NOT coalesce(split_name IN ({known}), false))"
         for name in SPLITS:
-            aggregates[f"in_{name}"] = F.count_if(split == name)
-            missing = missing + (F.col(f"in_{name}") == 0).cast("int")
+            aggregates[f"in_{name}"] = f"count_if(split_name = '{name}')"
+        missing = " + ".join(f"if(in_{name} = 0, 1, 0)" for name in SPLITS)
         checks += [
-            _check("known_splits", "split_name", F.col("odd_splits")),
+            _check("known_splits", "split_name", "odd_splits"),
             _check("all_splits", "split_name", missing),
         ]
 
     for k, f in enumerate(df.schema.fields):
-        aggregates[f"present{k}"] = F.count(F.col(f.name))
-        all_null = (F.col("rows") > 0) & (F.col(f"present{k}") == 0)
-        checks.append(_check("all_null", f.name, F.when(all_null, F.col("rows")).otherwise(0)))
+        aggregates[f"present{k}"] = f"count({f.name})"
+        checks.append(_check("all_null", f.name, f"if(present{k} = 0, rows, 0)"))
         if isinstance(f.dataType, NumericType):
-            infinite = F.abs(F.col(f.name).cast("double")) == float("inf")
-            aggregates[f"infinite{k}"] = F.count_if(infinite)
-            checks.append(_check("infinite", f.name, F.col(f"infinite{k}")))
+            infinite = f"abs(cast({f.name} as double)) = double('Infinity')"
+            aggregates[f"infinite{k}"] = f"count_if({infinite})"
+            checks.append(_check("infinite", f.name, f"infinite{k}"))
 
-    summary = df.agg(*(a.alias(n) for n, a in aggregates.items()))
+    summary = df.agg(*(F.expr(f"{text} AS {name}") for name, text in aggregates.items()))
     if "client_id" in df.columns:
         # Its own shuffle; map-side counts first, so many copies of one id are no burden.
         copies = df.groupBy("client_id").agg(F.count("*").alias("copies"))
-        extra = copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("extra"))
+        extra = copies.agg(F.expr("coalesce(sum(copies - 1), 0) AS extra"))
         summary = summary.select("*", extra.scalar().alias("extra_ids"))
-        checks.append(_check("unique_id", "client_id", F.col("extra_ids")))
-    return summary.select(F.inline(F.array(*checks)))
+        checks.append(_check("unique_id", "client_id", "extra_ids"))
+    return summary.selectExpr(f"inline(array({', '.join(checks)}))")
 
 
 def validate_features(df: DataFrame, target: str = "default_next_month") -> None:

@@ -7,7 +7,7 @@ the same bill to the last digit.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.months import BILL, MONTHS, PAY, PAY_STATUS
@@ -28,115 +28,102 @@ RAW_COLUMNS = (
 )
 
 
-def _period(date: Column) -> Column:
+def _period(date: str) -> str:
     """1 (newest) .. 6 (oldest) half-year of a date inside the window."""
-    months_back = (F.lit(NEWEST_YEAR) - F.year(date)) * 12 + (F.lit(NEWEST_MONTH) - F.month(date))
-    return (F.floor(months_back / MONTHS_PER_PERIOD) + 1).cast("int")
+    months_back = f"(({NEWEST_YEAR} - year({date})) * 12 + ({NEWEST_MONTH} - month({date})))"
+    return f"cast({months_back} div {MONTHS_PER_PERIOD} + 1 as int)"
 
 
-def _in_window(date: Column) -> Column:
+def _in_window(date: str) -> str:
     # Compared as plain timestamps so that the bounds reach the Parquet reader.
-    return (date >= F.lit(WINDOW_START).cast("timestamp_ntz")) & (
-        date < F.lit(WINDOW_END).cast("timestamp_ntz")
-    )
+    return f"({date} >= timestamp_ntz'{WINDOW_START}' AND {date} < timestamp_ntz'{WINDOW_END}')"
 
 
-def _cents(amount: Column) -> Column:
-    return F.floor(amount * 100 + 0.5)
+def _cents(amount: str) -> str:
+    return f"floor({amount} * 100 + 0.5D)"
 
 
 def _payments(lineitem: DataFrame) -> DataFrame:
     """Payments per order and period, added up before the join with orders."""
-    hundredths = _cents(F.col("l_extendedprice")) * (F.lit(100) - _cents(F.col("l_discount")))
+    hundredths = f"{_cents('l_extendedprice')} * (100 - {_cents('l_discount')})"
     settled = lineitem.filter(
-        (F.col("l_returnflag") == "N")
-        & (F.col("l_linestatus") == "F")
-        & _in_window(F.col("l_shipdate"))
-    ).select(
-        "l_orderkey",
-        _period(F.col("l_shipdate")).alias("period"),
-        hundredths.cast("double").alias("paid"),
+        f"l_returnflag = 'N' AND l_linestatus = 'F' AND {_in_window('l_shipdate')}"
+    ).selectExpr(
+        "l_orderkey", f"{_period('l_shipdate')} AS period", f"cast({hundredths} as double) AS paid"
     )
     return settled.groupBy("l_orderkey").agg(
-        *(F.sum(F.when(F.col("period") == i, F.col("paid"))).alias(f"paid_{i}") for i in MONTHS)
+        *(F.expr(f"sum(if(period = {i}, paid, null)) AS paid_{i}") for i in MONTHS)
     )
 
 
 def _history(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Bills, payments and order counts per customer and period, in one aggregation."""
-    billed = orders.select(
+    billed = orders.selectExpr(
         "o_orderkey",
         "o_custkey",
-        (F.col("o_orderstatus") == "O").alias("is_open"),
-        _cents(F.col("o_totalprice")).cast("double").alias("billed"),
-        F.when(_in_window(F.col("o_orderdate")), _period(F.col("o_orderdate"))).alias("period"),
+        "o_orderstatus = 'O' AS is_open",
+        f"cast({_cents('o_totalprice')} as double) AS billed",
+        f"if({_in_window('o_orderdate')}, {_period('o_orderdate')}, null) AS period",
     )
     joined = billed.join(
         _payments(lineitem), F.col("o_orderkey") == F.col("l_orderkey"), "left"
     )
     # Orders outside the window that nobody paid for add nothing; drop them early.
-    joined = joined.filter(F.col("period").isNotNull() | F.col("l_orderkey").isNotNull())
+    joined = joined.filter("period IS NOT NULL OR l_orderkey IS NOT NULL")
     aggregates = []
     for i in MONTHS:
-        here = F.col("period") == i
         aggregates += [
-            F.sum(F.when(here, F.col("billed"))).alias(f"bill_{i}"),
-            F.sum(f"paid_{i}").alias(f"paid_{i}"),
-            F.count(F.when(here, 1)).alias(f"orders_{i}"),
-            F.count(F.when(here & F.col("is_open"), 1)).alias(f"open_{i}"),
+            f"sum(if(period = {i}, billed, null)) AS bill_{i}",
+            f"sum(paid_{i}) AS paid_{i}",
+            f"count_if(period = {i}) AS orders_{i}",
+            f"count_if(period = {i} AND is_open) AS open_{i}",
         ]
-    return joined.groupBy("o_custkey").agg(*aggregates)
+    return joined.groupBy("o_custkey").agg(*map(F.expr, aggregates))
 
 
-def _status(i: int) -> Column:
-    n_orders = F.coalesce(F.col(f"orders_{i}"), F.lit(0))
-    n_open = F.coalesce(F.col(f"open_{i}"), F.lit(0))
+def _status(i: int) -> str:
     return (
-        F.when(n_orders == 0, -2)
-        .when(F.col(f"pay_amt_{i}") >= F.col(f"bill_amt_{i}"), -1)
-        .when(n_open == 0, 0)
-        .otherwise(F.least(n_open, F.lit(9)))
-        .cast("int")
+        f"cast(CASE WHEN coalesce(orders_{i}, 0) = 0 THEN -2 "
+        f"WHEN pay_amt_{i} >= bill_amt_{i} THEN -1 "
+        f"WHEN open_{i} = 0 THEN 0 ELSE least(open_{i}, 9) END as int)"
     )
 
 
-def fixture_score(status: Column, bill: Column, limit: Column) -> Column:
-    """Logistic score of the newest status and utilisation, to four decimals.
-
-    NULL where the limit is not positive: cleaning drops those rows.
-    """
-    load = F.least(bill / F.when(limit > 0, limit), F.lit(2.0))
-    z = F.lit(-2.0) + F.lit(0.55) * status + F.lit(1.2) * load
-    # ``least`` skips NULL, so the guard is repeated on the result.
-    return F.when(limit > 0, F.round(1.0 / (1.0 + F.exp(-z)), 4))
+# Logistic score of the newest status and utilisation, to four decimals. NULL where the
+# limit is not positive (cleaning drops those rows); ``least`` alone would skip the NULL.
+FIXTURE_SCORE = (
+    "if(limit_bal > 0, round(1.0D / (1.0D + exp(-(-2.0D + 0.55D * pay_status_1 + 1.2D * "
+    "least(bill_amt_1 / if(limit_bal > 0, limit_bal, null), 2.0D)))), 4), null)"
+)
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The panel without lineage: one row per customer, labelled."""
     history = _history(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
-    customers = read_table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("client_id"),
-        F.round(F.col("c_acctbal") * 100).alias("limit_bal"),
-        (F.col("c_nationkey") % 2 + 1).cast("int").alias("sex"),
-        (F.col("c_nationkey") % 7).cast("int").alias("education"),
-        F.expr("cast((c_custkey div 3) % 4 as int)").alias("marriage"),
-        (F.lit(16) + (F.col("c_custkey") * 7) % 70).cast("int").alias("age"),
+    customers = read_table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS client_id",
+        "round(c_acctbal * 100) AS limit_bal",
+        "cast(c_nationkey % 2 + 1 as int) AS sex",
+        "cast(c_nationkey % 7 as int) AS education",
+        "cast((c_custkey div 3) % 4 as int) AS marriage",
+        "cast(16 + (c_custkey * 7) % 70 as int) AS age",
     )
-    joined = customers.join(history, F.col("client_id") == F.col("o_custkey"), "left")
-    money = joined.withColumns(
-        {
-            **{b: F.round(F.coalesce(f"bill_{i}", F.lit(0.0)) / 100) for i, b in enumerate(BILL, 1)},
-            **{p: F.round(F.coalesce(f"paid_{i}", F.lit(0.0)) / 10000) for i, p in enumerate(PAY, 1)},
-        }
+    plain = ("client_id", "limit_bal", "sex", "education", "marriage", "age")
+    money = customers.join(history, F.col("client_id") == F.col("o_custkey"), "left").selectExpr(
+        *plain,
+        *(f"round(coalesce(bill_{i}, 0.0D) / 100) AS bill_amt_{i}" for i in MONTHS),
+        *(f"round(coalesce(paid_{i}, 0.0D) / 10000) AS pay_amt_{i}" for i in MONTHS),
+        *(f"orders_{i}" for i in MONTHS),
+        *(f"open_{i}" for i in MONTHS),
+    )
+    with_status = money.selectExpr(
+        *plain, *(f"{_status(i)} AS pay_status_{i}" for i in MONTHS), *BILL, *PAY
     )
-    status = money.withColumns({name: _status(i) for i, name in enumerate(PAY_STATUS, 1)})
-    score = fixture_score(F.col("pay_status_1"), F.col("bill_amt_1"), F.col("limit_bal"))
-    draw = (F.col("client_id") * 7919 + 13) % 10000
-    label = F.when(draw < F.round(score * 10000).cast("bigint"), 1).otherwise(0)
-    return status.select(
-        *RAW_COLUMNS[: RAW_COLUMNS.index("default_next_month")],
-        label.cast("int").alias("default_next_month"),
+    label = (
+        "cast(if((client_id * 7919 + 13) % 10000 < "
+        f"cast(round({FIXTURE_SCORE} * 10000) as bigint), 1, 0) as int)"
     )
+    return with_status.selectExpr("*", f"{label} AS default_next_month")
 
 
 def with_lineage(df: DataFrame, ingested_at: str, source_uri: str) -> DataFrame:
@@ -155,16 +142,14 @@ def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     The replay is an extra row made from the same row, so the history is built once.
     """
     base = with_lineage(accounts(spark, sf_dir), INGESTED_AT, PANEL_URI)
-    current = F.struct(F.col("limit_bal"), F.col("ingested_at"), F.col("source_uri"))
-    replay = F.struct(
-        (F.col("limit_bal") * 2).alias("limit_bal"),
-        F.lit(REPLAYED_AT).cast("timestamp_ntz").alias("ingested_at"),
-        F.col("source_uri"),
-    )
-    versions = F.when(F.col("client_id") % 10 == 0, F.array(current, replay)).otherwise(
-        F.array(current)
+    current = "named_struct('limit_bal', limit_bal, 'ingested_at', ingested_at)"
+    replay = (
+        "named_struct('limit_bal', limit_bal * 2, "
+        f"'ingested_at', timestamp_ntz'{REPLAYED_AT}')"
     )
-    kept = [c for c in RAW_COLUMNS if c not in ("limit_bal", "ingested_at", "source_uri")]
-    return base.select(*kept, F.explode(versions).alias("v")).select(
-        *(F.col(f"v.{c}").alias(c) if c not in kept else F.col(c) for c in RAW_COLUMNS)
+    versions = f"if(client_id % 10 = 0, array({current}, {replay}), array({current}))"
+    versioned = ("limit_bal", "ingested_at")
+    kept = [c for c in RAW_COLUMNS if c not in versioned]
+    return base.selectExpr(*kept, f"explode({versions}) AS v").selectExpr(
+        *(f"v.{c} AS {c}" if c in versioned else c for c in RAW_COLUMNS)
     )
