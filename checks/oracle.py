@@ -536,8 +536,7 @@ ORACLE["month_helpers"] = sql(
     + ", "
     + ", ".join(r6(r, f"payment_ratio_{i}") for i, r in enumerate(RATIO, 1))
     + ", "
-    + r6("(" + " + ".join(f"{b} * {b}" for b in BILL) + ") / 6", "avg_bill_amt_sq")
-    + " FROM clean",
+    + "(" + " + ".join(f"{b} * {b}" for b in BILL) + ") / 6 AS avg_bill_amt_sq FROM clean",
 )
 ORACLE["features_all"] = sql("feat", f"SELECT {FEATURE_ROW} FROM feat")
 for _family, _names in FAMILY.items():
@@ -714,12 +713,12 @@ ORACLE["cost_sweep"] = sql(
 
 _flavors = {"behaviour": SCORE, "status_only": STATUS_SCORE}
 _compare: dict[str, str] = {
-    "both": " UNION ALL ".join(
+    "flavors": " UNION ALL ".join(
         f"SELECT '{f}' AS flavor, {SPLIT} AS split_name, default_next_month AS y, {s} AS p FROM clean"
         for f, s in _flavors.items()
     )
 }
-_compare["ranked_both"] = ranked("both", "flavor, split_name")
+_compare["ranked_both"] = ranked("flavors", "flavor, split_name")
 _compare["curve_both"] = curve("ranked_both", "flavor, split_name")
 _compare["best_both"] = (
     "SELECT flavor, threshold AS t FROM (SELECT *, row_number() OVER (PARTITION BY flavor"

@@ -22,6 +22,7 @@ LOG_SCHEMA = {
     "bill_amt_1": "double",
     "pay_amt_1": "double",
 }
+CLUSTERING = ("model_version", "decision")
 LOG_INPUTS = ("limit_bal", "age", "pay_status_1", "bill_amt_1", "pay_amt_1")
 
 DRIFT_SCHEMA = {
@@ -46,22 +47,24 @@ def day_of(column: str | Column) -> Column:
     return F.date_format(column, "yyyy-MM-dd")
 
 
-def append_by_day(df: DataFrame, path: str, time: str, sort: Sequence[str] = ()) -> None:
-    """Append to a table partitioned by the day of ``time``.
+def by_day(df: DataFrame, time: str, sort: Sequence[str] = ()) -> DataFrame:
+    """Rows with their ``day``, gathered per day for the write.
 
-    Spreading rows over (day, hash of the row time) before the write bounds the file
-    count per day while no single task gets a whole busy day.
+    ``rebalance`` lets Spark cut a busy day into tasks of even size and merge quiet
+    ones, so neither one task nor thousands of small files result.
     """
-    parted = df.withColumn("day", day_of(time))
-    spread = parted.repartition("day", F.pmod(F.xxhash64(time), F.lit(16)))
-    spread.sortWithinPartitions("day", *sort).write.mode("append").partitionBy("day").parquet(path)
+    parted = df.withColumn("day", day_of(time)).hint("rebalance", "day")
+    return parted.sortWithinPartitions("day", *sort)
+
+
+def append_by_day(df: DataFrame, path: str, time: str, sort: Sequence[str] = ()) -> None:
+    """Append to a table partitioned by the day of ``time``."""
+    by_day(df, time, sort).write.mode("append").partitionBy("day").parquet(path)
 
 
 def append_log(results: DataFrame, path: str) -> None:
     """Append result rows to the prediction log, clustered by version and decision."""
-    append_by_day(
-        declared(results, LOG_SCHEMA), path, "predicted_at", ("model_version", "decision")
-    )
+    append_by_day(declared(results, LOG_SCHEMA), path, "predicted_at", CLUSTERING)
 
 
 def append_drift(drift: DataFrame, path: str) -> None:

@@ -65,20 +65,30 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def shown(df: DataFrame) -> DataFrame:
-    """Doubles to six places, times as text."""
+def shown(df: DataFrame, exact: Sequence[str] = ()) -> DataFrame:
+    """Doubles to six places (but for ``exact`` columns), times as text."""
     out = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, DoubleType):
-            out.append(F.round(f.name, 6).alias(f.name))
+        if isinstance(f.dataType, DoubleType) and f.name not in exact:
+            out.append(f"round({f.name}, 6) AS {f.name}")
         elif isinstance(f.dataType, (TimestampNTZType, TimestampType)):
-            out.append(F.date_format(f.name, "yyyy-MM-dd HH:mm:ss").alias(f.name))
+            out.append(f"date_format({f.name}, 'yyyy-MM-dd HH:mm:ss') AS {f.name}")
         else:
-            out.append(F.col(f.name))
-    return df.select(*out)
+            out.append(f"`{f.name}`")
+    return df.selectExpr(*out)
 
 
 # ---- shared inputs -------------------------------------------------------------------
+# Where a query needs the accounts more than once, they are stored first: in production
+# these are the warehouse tables that every later step reads.
+
+
+def latest_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    return clean.dedup_latest(raw_panel(spark, sf))
+
+
+def stored_latest(spark: SparkSession, sf: str) -> DataFrame:
+    return materialise(latest_accounts(spark, sf))
 
 
 def clean_accounts(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,9 +103,9 @@ def stored_features(spark: SparkSession, sf: str) -> DataFrame:
     return materialise(feature_table(spark, sf))
 
 
-def scores(spark: SparkSession, sf: str, score: str = FIXTURE_SCORE) -> DataFrame:
+def scored(latest: DataFrame, score: str = FIXTURE_SCORE) -> DataFrame:
     """Scored accounts: id, group, split, label and probability."""
-    return clean_accounts(spark, sf).selectExpr(
+    return clean.clean_rows(latest).selectExpr(
         "client_id",
         "sex",
         f"{split_name(SplitRule())} AS split_name",
@@ -104,35 +114,43 @@ def scores(spark: SparkSession, sf: str, score: str = FIXTURE_SCORE) -> DataFram
     )
 
 
-def valid_threshold(spark: SparkSession, sf: str) -> float:
-    """Cheapest threshold on the validation split."""
-    return evaluate.fit_threshold(split_frame(scores(spark, sf), "valid"), COST)
+def scores(spark: SparkSession, sf: str) -> DataFrame:
+    return scored(latest_accounts(spark, sf))
 
 
-def latest_accounts(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.dedup_latest(raw_panel(spark, sf))
+def valid_threshold(latest: DataFrame) -> float:
+    """Cheapest threshold on the validation split."""
+    return evaluate.fit_threshold(split_frame(scored(latest), "valid"), COST)
 
 
-def requests(spark: SparkSession, sf: str) -> DataFrame:
+def requests(spark: SparkSession, sf: str, latest: DataFrame | None = None) -> DataFrame:
+    """Events with the record of the account they ask about."""
     headers = event_requests(read_table(spark, sf, "events"))
-    return attach_records(headers, latest_accounts(spark, sf))
+    return attach_records(headers, latest_accounts(spark, sf) if latest is None else latest)
 
 
-def results(spark: SparkSession, sf: str, keep: Sequence[str] = KEPT) -> DataFrame:
+def results(
+    spark: SparkSession, sf: str, keep: Sequence[str] = KEPT, latest: DataFrame | None = None
+) -> DataFrame:
     """Scored requests with their inputs."""
-    threshold = valid_threshold(spark, sf)
-    return scoring.score_requests(requests(spark, sf), threshold, VERSION, keep=keep)
+    latest = stored_latest(spark, sf) if latest is None else latest
+    asked = requests(spark, sf, latest)
+    return scoring.score_requests(asked, valid_threshold(latest), VERSION, keep=keep)
 
 
-def traffic(spark: SparkSession, sf: str, shifted: bool = False) -> DataFrame:
-    """Features of the accepted requests; ``shifted`` moves their logged limits."""
-    served = scoring.request_features(scoring.accepted(requests(spark, sf)), keep=("event_id", "shift"))
-    return shift_limits(served) if shifted else served
+def profile(latest: DataFrame, names: Sequence[str] = TRACKED_FEATURES):
+    """Drift baseline of the training split."""
+    baseline = split_frame(features(clean.clean_rows(latest)), "train").select(*names)
+    return drift.fit_profile(materialise(baseline), names)
 
 
-def profile(spark: SparkSession, sf: str, names: Sequence[str] = TRACKED_FEATURES):
-    baseline = split_frame(feature_table(spark, sf), "train").select(*names)
-    return drift.fit_profile(materialise(baseline), names)
+def profile_and_traffic(spark: SparkSession, sf: str, shifted: bool = False):
+    """The baseline, and the features of the accepted requests; ``shifted`` moves their
+    limits."""
+    latest = stored_latest(spark, sf)
+    asked = scoring.accepted(requests(spark, sf, latest))
+    served = scoring.request_features(asked, keep=("event_id", "shift"))
+    return profile(latest), shift_limits(served) if shifted else served
 
 
 # ---- sources, sinks, tables ----------------------------------------------------------
@@ -228,7 +246,7 @@ def clean_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def month_helpers(spark: SparkSession, sf: str) -> DataFrame:
-    return shown(helpers(clean_accounts(spark, sf)))
+    return shown(helpers(clean_accounts(spark, sf)), exact=("avg_bill_amt_sq",))
 
 
 @query
@@ -343,8 +361,10 @@ def ranking_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def metrics_row(spark: SparkSession, sf: str) -> DataFrame:
-    threshold = valid_threshold(spark, sf)
-    return shown(evaluate.metrics(ranked(spark, sf), COST, threshold, BY_SPLIT))
+    table = materialise(scores(spark, sf))
+    threshold = evaluate.fit_threshold(split_frame(table, "valid"), COST)
+    ranked_table = evaluate.ranked_scores(table, BY_SPLIT)
+    return shown(evaluate.metrics(ranked_table, COST, threshold, BY_SPLIT))
 
 
 @query
@@ -373,8 +393,8 @@ def fairness(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def cost_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    scored = materialise(scores(spark, sf))
-    fit, test = (evaluate.ranked_scores(split_frame(scored, s)) for s in ("valid", "test"))
+    table = materialise(scores(spark, sf))
+    fit, test = (evaluate.ranked_scores(split_frame(table, s)) for s in ("valid", "test"))
     return shown(evaluate.cost_sweep(fit, test, COST))
 
 
@@ -384,11 +404,11 @@ STATUS_SCORE = "round(1.0D / (1.0D + exp(-(-2.0D + 0.55D * pay_status_1))), 4)"
 
 @query
 def model_compare(spark: SparkSession, sf: str) -> DataFrame:
-    test, thresholds = {}, {}
+    latest, test, thresholds = stored_latest(spark, sf), {}, {}
     for flavor, score in (("behaviour", FIXTURE_SCORE), ("status_only", STATUS_SCORE)):
-        scored = materialise(scores(spark, sf, score))
-        thresholds[flavor] = evaluate.fit_threshold(split_frame(scored, "valid"), COST)
-        test[flavor] = split_frame(scored, "test")
+        table = scored(latest, score)
+        thresholds[flavor] = evaluate.fit_threshold(split_frame(table, "valid"), COST)
+        test[flavor] = split_frame(table, "test")
     return shown(evaluate.compare_models(test, COST, thresholds))
 
 
@@ -439,10 +459,10 @@ def request_features(spark: SparkSession, sf: str) -> DataFrame:
 def request_guard(spark: SparkSession, sf: str) -> DataFrame:
     """Valid requests, results, and valid requests without a result."""
     asked = materialise(requests(spark, sf))
-    scored = scoring.score_requests(asked, FIXED_THRESHOLD, VERSION, keep=("event_id",))
-    lost = scoring.lost_requests(asked, scored, "event_id").agg(F.count("*")).scalar()
+    answers = scoring.score_requests(asked, FIXED_THRESHOLD, VERSION, keep=("event_id",))
+    lost = scoring.lost_requests(asked, answers, "event_id").agg(F.count("*")).scalar()
     valid = scoring.accepted(asked).agg(F.count("*")).scalar()
-    return scored.agg(F.count("*").alias("scored")).select(
+    return answers.agg(F.count("*").alias("scored")).select(
         valid.alias("valid"), "scored", lost.alias("lost")
     )
 
@@ -469,15 +489,15 @@ def score_counters(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def prob_summary(spark: SparkSession, sf: str) -> DataFrame:
-    scored = materialise(results(spark, sf, ("event_id",)))
-    return shown(scoring.probability_summary(scored))
+    return shown(scoring.probability_summary(materialise(results(spark, sf, ("event_id",)))))
 
 
 @query
 def skew_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Features served from account records against the stored feature table."""
-    stored = stored_features(spark, sf)
-    served = scoring.request_features(scoring.accepted(latest_accounts(spark, sf)))
+    latest = stored_latest(spark, sf)
+    stored = materialise(features(clean.clean_rows(latest)))
+    served = scoring.request_features(scoring.accepted(latest))
     return shown(audits.skew_audit(served, stored, list(all_features())))
 
 
@@ -488,9 +508,9 @@ def skew_audit(spark: SparkSession, sf: str) -> DataFrame:
 def prediction_log(spark: SparkSession, sf: str) -> DataFrame:
     """Results appended to the day-partitioned log in two loads and read back."""
     path = new_path(spark, "log")
-    scored = materialise(results(spark, sf))
-    log.append_log(scored.filter("event_id % 2 = 0"), path)
-    log.append_log(scored.filter("event_id % 2 = 1"), path)
+    answers = materialise(results(spark, sf))
+    for flagged in (True, False):
+        log.append_log(answers.filter((F.col("decision") == "flag") == flagged), path)
     return shown(log.read_log(spark, path))
 
 
@@ -518,39 +538,40 @@ def decision_history(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def drift_table(spark: SparkSession, sf: str) -> DataFrame:
-    return shown(drift.drift_table(profile(spark, sf), traffic(spark, sf)))
+    return shown(drift.drift_table(*profile_and_traffic(spark, sf)))
 
 
 @query
 def drift_shifted(spark: SparkSession, sf: str) -> DataFrame:
-    return shown(drift.drift_table(profile(spark, sf), traffic(spark, sf, shifted=True)))
+    return shown(drift.drift_table(*profile_and_traffic(spark, sf, shifted=True)))
 
 
 @query
 def psi_breakdown(spark: SparkSession, sf: str) -> DataFrame:
-    return shown(drift.psi_breakdown(profile(spark, sf), traffic(spark, sf, shifted=True)))
+    return shown(drift.psi_breakdown(*profile_and_traffic(spark, sf, shifted=True)))
 
 
 @query
 def drift_alerts(spark: SparkSession, sf: str) -> DataFrame:
-    table = drift.drift_table(profile(spark, sf), traffic(spark, sf, shifted=True))
+    table = drift.drift_table(*profile_and_traffic(spark, sf, shifted=True))
     return shown(drift.drift_alerts(table))
 
 
 @query
 def drift_by_day(spark: SparkSession, sf: str) -> DataFrame:
-    logged = results(spark, sf).withColumn("day", log.day_of("predicted_at"))
-    names = ("limit_bal", "age")
-    return shown(drift.drift_table(profile(spark, sf, names), logged, ("day",)))
+    latest = stored_latest(spark, sf)
+    logged = results(spark, sf, latest=latest).withColumn("day", log.day_of("predicted_at"))
+    return shown(drift.drift_table(profile(latest, ("limit_bal", "age")), logged, ("day",)))
 
 
 @query
 def drift_job(spark: SparkSession, sf: str) -> DataFrame:
     """The scheduled check over a stored log, appended to the drift table."""
     path, out = new_path(spark, "log"), new_path(spark, "drift")
-    log.append_log(results(spark, sf), path)
+    latest = stored_latest(spark, sf)
+    log.append_log(results(spark, sf, latest=latest), path)
     drift_check(
-        stored_features(spark, sf),
+        materialise(features(clean.clean_rows(latest))),
         log.read_log(spark, path),
         Monitoring(),
         since="2024-01-15",
@@ -562,17 +583,15 @@ def drift_job(spark: SparkSession, sf: str) -> DataFrame:
 # ---- streams -------------------------------------------------------------------------
 
 
-def _scored_stream(spark: SparkSession, sf: str) -> str:
+def _scored_stream(spark: SparkSession, sf: str, latest: DataFrame) -> str:
     out = new_path(spark, "scored")
-    threshold = valid_threshold(spark, sf)
-    stored = materialise(latest_accounts(spark, sf))
     score_streaming.finish(
         score_streaming.score_stream(
             score_streaming.event_stream(spark, sf),
-            stored,
+            latest,
             out,
             new_path(spark, "checkpoint"),
-            threshold,
+            valid_threshold(latest),
             VERSION,
         )
     )
@@ -582,37 +601,42 @@ def _scored_stream(spark: SparkSession, sf: str) -> str:
 @query
 def stream_scoring(spark: SparkSession, sf: str) -> DataFrame:
     return shown(
-        score_streaming.read_results(spark, _scored_stream(spark, sf)).select(
+        score_streaming.read_results(
+            spark, _scored_stream(spark, sf, stored_latest(spark, sf))
+        ).select(
             "event_id", "client_id", "default_probability", "decision", "threshold", "risk_band",
             "model_version",
         )
     )
 
 
-def _logged_stream(spark: SparkSession, sf: str) -> str:
+def _logged_stream(spark: SparkSession, sf: str, latest: DataFrame) -> str:
     out = new_path(spark, "log")
-    scored = _scored_stream(spark, sf)
+    answers = _scored_stream(spark, sf, latest)
     score_streaming.finish(
-        score_streaming.log_stream(spark, scored, out, new_path(spark, "checkpoint"))
+        score_streaming.log_stream(spark, answers, out, new_path(spark, "checkpoint"))
     )
     return out
 
 
 @query
 def stream_log(spark: SparkSession, sf: str) -> DataFrame:
-    logged = score_streaming.read_loads(spark, _logged_stream(spark, sf))
+    logged = score_streaming.read_loads(
+        spark, _logged_stream(spark, sf, stored_latest(spark, sf))
+    )
     return scoring.score_counters(logged, ("day", "model_version"))
 
 
 @query
 def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
-    path = _logged_stream(spark, sf)
+    latest = stored_latest(spark, sf)
+    path = _logged_stream(spark, sf, latest)
     schema = score_streaming.read_loads(spark, path).schema
     stream = spark.readStream.schema(schema).option("basePath", path).parquet(path)
     out = new_path(spark, "daily")
     score_streaming.finish(
         drift_streaming.drift_stream(
-            stream, profile(spark, sf, ("limit_bal", "age")), out, new_path(spark, "checkpoint")
+            stream, profile(latest, ("limit_bal", "age")), out, new_path(spark, "checkpoint")
         )
     )
     return shown(drift_streaming.read_daily_drift(spark, out))
@@ -717,13 +741,14 @@ def calibrated_brier(spark: SparkSession, sf: str) -> DataFrame:
     base = training.search(
         training.logistic_candidate(SHORT), split_frame(table, "train"), model_columns(table), SHORT
     ).pipeline
-    rows = [("none", training.score_frame(base, valid, SHORT, uncalibrated=True))]
+    rows = {"none": training.score_frame(base, valid, SHORT, uncalibrated=True)}
     for method in ("isotonic", "sigmoid"):
         settings = Settings(model=ModelConfig(calibration=method))
-        rows.append((method, training.score_frame(training.calibrate(base, valid, settings), valid, settings)))
+        model = training.calibrate(base, valid, settings)
+        rows[method] = training.score_frame(model, valid, settings)
     out = None
-    for method, scored in rows:
-        row = evaluate.ranking_metrics(evaluate.ranked_scores(scored)).select(
+    for method, frame in rows.items():
+        row = evaluate.ranking_metrics(evaluate.ranked_scores(frame)).select(
             F.lit(method).alias("method"), "*"
         )
         out = row if out is None else out.unionByName(row)
@@ -731,26 +756,27 @@ def calibrated_brier(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def model_registry(spark: SparkSession, sf: str) -> DataFrame:
-    """Register a model, load the newest version and score test with it."""
-    table = stored_features(spark, sf)
+def model_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    """Register two versions, load the newest, and score the requests with it."""
+    latest = stored_latest(spark, sf)
+    table = materialise(features(clean.clean_rows(latest)))
+    names = model_columns(table)
     found = training.search(
-        training.logistic_candidate(SHORT), split_frame(table, "train"), model_columns(table), SHORT
+        training.logistic_candidate(SHORT), split_frame(table, "train"), names, SHORT
     )
     model = training.calibrate(found.pipeline, split_frame(table, "valid"), SHORT)
     root = new_path(spark, "models")
-    save_model(spark, root, "linear", model, model_columns(table), 0.2, COST, version="20260101")
-    newest = save_model(spark, root, "linear", model, model_columns(table), 0.25, COST)
-    loaded, metadata = load_model(spark, root, "linear")
-    scored = training.score_frame(loaded, split_frame(table, "test"), SHORT)
-    return shown(
-        scored.agg(
-            F.count("*").alias("n"),
-            F.max(F.lit(metadata["version"] == newest)).alias("is_newest"),
-            F.max(F.lit(metadata["n_features"])).alias("n_features"),
-            F.avg("p").alias("mean_probability"),
-        )
+    save_model(spark, root, "linear", model, names, 0.2, COST, version="20260101T000000Z")
+    save_model(spark, root, "linear", model, names, 0.25, COST, version="20260102T000000Z")
+    loaded, card = load_model(spark, root, "linear")
+    answers = scoring.score_requests(
+        requests(spark, sf, latest),
+        card["threshold"],
+        card["version"],
+        training.model_scorer(loaded, card["feature_names"]),
+        keep=("event_id",),
     )
+    return shown(answers)
 
 
 __all__ = ["QUERIES"]

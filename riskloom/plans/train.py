@@ -17,7 +17,7 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
 )
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import VectorSlicer
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.tuning import ParamGridBuilder
@@ -42,6 +42,7 @@ from riskloom.operators.prep import (
     stratified_folds,
     with_class_weight,
 )
+from riskloom.operators.scoring import Scorer, require_columns
 from riskloom.session import materialise
 
 # Searched settings of the linear and the boosted candidate.
@@ -258,11 +259,8 @@ def calibrate(
     low = 1.0 / (totals["n"] - totals["pos"] + 2.0)
     # Smoothed targets as weights of the two labels.
     hit = f"pos * {high!r}D + (n - pos) * {low!r}D"
-    points = counts.selectExpr(
-        "p", f"inline(array(named_struct('y', 1.0D, 'w', {hit}), named_struct('y', 0.0D, 'w', n - ({hit}))))"
-    )
-    from pyspark.ml.feature import VectorAssembler
-
+    both = f"named_struct('y', 1.0D, 'w', {hit}), named_struct('y', 0.0D, 'w', n - ({hit}))"
+    points = counts.selectExpr("p", f"inline(array({both}))")
     vector = VectorAssembler(inputCols=["p"], outputCol="calibration_input").transform(points)
     slicer = VectorSlicer(inputCol=score, outputCol="calibration_input", indices=[1])
     stage = LogisticRegression(
@@ -295,6 +293,17 @@ def score_frame(
     )
 
 
+def model_scorer(model: PipelineModel, names: list[str]) -> Scorer:
+    """The fitted pipeline as a scorer of feature rows; checks that its inputs are there."""
+
+    def score(features: DataFrame) -> DataFrame:
+        require_columns(features, names)
+        scored = model.transform(features)
+        return scored.select(*features.columns, probability(scored).alias("p"))
+
+    return score
+
+
 @dataclass
 class Outcome:
     """Everything training decided and measured."""

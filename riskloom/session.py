@@ -1,4 +1,4 @@
-"""Session defaults, the shared work folder, and cutting lineage."""
+"""Session defaults, the shared work folder, and intermediate tables."""
 
 from __future__ import annotations
 
@@ -53,10 +53,12 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and read every later use from the shared folder.
+    """Compute ``df`` once into a table in the shared folder and read it from there.
 
-    Used where a frame feeds several jobs. The files outlive the executors, so a lost
-    node costs a re-read and not the lineage behind it.
+    Used where a frame feeds several jobs. The table outlives the executors, so a lost
+    node costs a re-read and not the lineage behind it; later readers take only the
+    columns they need, and Spark knows its true size when it picks joins.
     """
-    work_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark, path = df.sparkSession, new_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from riskloom.operators.log import LOG_INPUTS, LOG_SCHEMA, day_of, declared
+from riskloom.operators.log import CLUSTERING, LOG_INPUTS, LOG_SCHEMA, by_day, day_of, declared
 from riskloom.operators.scoring import Scorer, fixture_scorer, score_requests
 from riskloom.sources.requests import attach_records, event_requests
 from riskloom.sources.tables import SCHEMAS
@@ -31,12 +31,14 @@ def event_stream(
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def once_per_event(events: DataFrame, repeat_within: str = REPEAT_WITHIN) -> DataFrame:
+def once_per_event(
+    events: DataFrame, time: str = "ts", repeat_within: str = REPEAT_WITHIN
+) -> DataFrame:
     """Each event id once, however often it is delivered within the watermark.
 
     The state holds the ids of that span only, so it does not grow with the stream.
     """
-    return events.withWatermark("ts", repeat_within).dropDuplicatesWithinWatermark(["event_id"])
+    return events.withWatermark(time, repeat_within).dropDuplicatesWithinWatermark(["event_id"])
 
 
 def finish(query: StreamingQuery) -> None:
@@ -106,7 +108,8 @@ def log_stream(spark: SparkSession, scored: str, log: str, checkpoint: str) -> S
     """Copy scored results into the prediction log, partitioned by day.
 
     A query of its own: when the log cannot be written, it stops and later resumes where
-    it was, while scoring goes on. Each batch owns a folder, so a retry replaces it.
+    it was, while scoring goes on. Each batch owns a folder, so a retry replaces it; a
+    scoring batch that was run again is recognised by its event ids.
     """
     stream = (
         spark.readStream.schema(results_schema())
@@ -116,14 +119,12 @@ def log_stream(spark: SparkSession, scored: str, log: str, checkpoint: str) -> S
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = declared(batch, LOG_SCHEMA).withColumn("day", day_of("predicted_at"))
-        parted = rows.repartition("day", F.pmod(F.xxhash64("predicted_at"), F.lit(16)))
-        parted.sortWithinPartitions("day", "model_version", "decision").write.mode(
-            "overwrite"
-        ).partitionBy("day").parquet(f"{log}/load={batch_id}")
+        rows = by_day(declared(batch, LOG_SCHEMA), "predicted_at", CLUSTERING)
+        rows.write.mode("overwrite").partitionBy("day").parquet(f"{log}/load={batch_id}")
 
     return (
-        stream.writeStream.foreachBatch(write)
+        once_per_event(stream, "predicted_at")
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
