@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from fractions import Fraction
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.session import materialise
@@ -26,18 +26,13 @@ SLACK = 3.0 / ACCURACY
 
 def _cut_points(df: DataFrame, order: str, rows_per_bucket: int) -> list[float]:
     """Increasing values that cut ``df`` into ranges of at most about ``rows_per_bucket``
-    rows. Only this list, at most MAX_BUCKETS long, reaches the driver."""
-    grid = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-    stats = df.agg(
-        F.count("*").alias("rows"),
-        F.percentile_approx(F.col(order).cast("double"), grid, ACCURACY).alias("cuts"),
-    ).first()
-    wanted = min(MAX_BUCKETS, -(-stats["rows"] // rows_per_bucket))
+    rows. Only this list, shorter than MAX_BUCKETS, reaches the driver."""
+    wanted = min(MAX_BUCKETS, -(-df.count() // rows_per_bucket))
     if wanted < 2:
         return []
-    step = MAX_BUCKETS / wanted
-    picked = {stats["cuts"][round(i * step) - 1] for i in range(1, wanted)}
-    return sorted(picked)
+    grid = ", ".join(f"double('{i / wanted!r}')" for i in range(1, wanted))
+    text = f"percentile_approx(cast({order} as double), array({grid}), {ACCURACY})"
+    return sorted(set(df.agg(F.expr(text).alias("cuts")).first()["cuts"]))
 
 
 def running_totals(
@@ -110,11 +105,6 @@ class Quantiles:
     values: tuple[float | None, ...]
 
 
-def present(column: Column) -> Column:
-    """Neither NULL nor NaN."""
-    return column.isNotNull() & ~F.isnan(column)
-
-
 def _position(n: int, q: Fraction) -> tuple[int, float]:
     """0-based lower rank of quantile ``q`` among ``n`` values, and the step beyond it."""
     scaled = (n - 1) * q.numerator
@@ -132,12 +122,17 @@ def _disjoint(ranges: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return merged
 
 
-def _slot(value: Column, ranges: list[tuple[float, float]]) -> Column:
+def _slot(column: str, ranges: list[tuple[float, float]]) -> str:
     """Odd inside a range, even in the gaps between them; increasing with the value."""
-    slot = F.lit(0)
-    for low, high in ranges:
-        slot = slot + (value >= low).cast("int") + (value > high).cast("int")
-    return slot
+    steps = [
+        f"int({column} >= {_double(low)}) + int({column} > {_double(high)})"
+        for low, high in ranges
+    ]
+    return " + ".join(steps)
+
+
+def _double(value: float) -> str:
+    return f"double('{value!r}')"
 
 
 def exact_quantiles(
@@ -151,7 +146,9 @@ def exact_quantiles(
     driver sees counts per range and the values asked for, never the data.
     """
     fractions = [q if isinstance(q, Fraction) else Fraction(str(q)) for q in quantiles]
-    values = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
+    # NaN becomes NULL once, here; aggregates then skip both.
+    double = {c: f"cast({c} as double)" for c in columns}
+    values = df.selectExpr(*(f"if(isnan({x}), null, {x}) AS {c}" for c, x in double.items()))
     sizes, sketch = _sketch(values, columns, fractions)
     ranks = {
         c: {r for q in fractions for r in _ranks_of(sizes[c], q)} for c in columns if sizes[c]
@@ -194,12 +191,12 @@ def _sketch(
     """Valid counts, and value ranges around every quantile, from one approximate pass."""
     around = [(float(q) - SLACK, float(q) + SLACK) for q in fractions]
     probabilities = [min(max(p, 0.0), 1.0) for pair in around for p in pair]
+    grid = f"array({', '.join(_double(p) for p in probabilities)})"
     aggregates = []
     for c in columns:
-        valid = F.when(present(F.col(c)), F.col(c))
-        aggregates.append(F.count(valid).alias(f"count__{c}"))
-        aggregates.append(F.percentile_approx(valid, probabilities, ACCURACY).alias(c))
-    row = values.agg(*aggregates).first()
+        aggregates.append(f"count({c}) AS count__{c}")
+        aggregates.append(f"percentile_approx({c}, {grid}, {ACCURACY}) AS {c}")
+    row = values.agg(*map(F.expr, aggregates)).first()
     ranges = {}
     for c in columns:
         if row[c] is not None:
@@ -222,27 +219,16 @@ def _values_at(
 ) -> dict[tuple[str, int], float]:
     """Values at the wanted ranks, as far as they lie inside the given ranges."""
     spark = values.sparkSession
-    cells = F.array(
-        *(
-            F.when(
-                present(F.col(c)),
-                F.struct(
-                    F.lit(c).alias("feature"),
-                    _slot(F.col(c), ranges[c]).alias("slot"),
-                    F.col(c).alias("value"),
-                ),
-            )
-            for c in ranks
-        )
+    cells = ", ".join(
+        f"named_struct('feature', '{c}', 'slot', {_slot(c, ranges[c])}, 'value', {c})"
+        for c in ranks
     )
-    inside = F.col("cell.slot") % 2 == 1
+    # Outside the ranges only the slot counts; those rows add up on the map side.
     counted = materialise(
-        values.select(F.explode(F.array_compact(cells)).alias("cell"))
-        .groupBy(
-            F.col("cell.feature").alias("feature"),
-            F.col("cell.slot").alias("slot"),
-            F.when(inside, F.col("cell.value")).alias("value"),
-        )
+        values.selectExpr(f"inline(array({cells}))")
+        .filter("value IS NOT NULL")
+        .selectExpr("feature", "slot", "if(slot % 2 = 1, value, null) AS value")
+        .groupBy("feature", "slot", "value")
         .agg(F.count("*").alias("n"))
     )
     # Two rows per range and one per gap and column: bounded by the ranks asked for.
