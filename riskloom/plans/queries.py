@@ -50,6 +50,7 @@ from riskloom.sources.requests import attach_records, event_requests, shift_limi
 from riskloom.sources.tables import read_table
 from riskloom.streaming import drift as drift_streaming
 from riskloom.streaming import scoring as score_streaming
+from riskloom.streaming.sink import finish
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -585,7 +586,7 @@ def drift_job(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scored_stream(spark: SparkSession, sf: str, latest: DataFrame) -> str:
     out = new_path(spark, "scored")
-    score_streaming.finish(
+    finish(
         score_streaming.score_stream(
             score_streaming.event_stream(spark, sf),
             latest,
@@ -613,7 +614,7 @@ def stream_scoring(spark: SparkSession, sf: str) -> DataFrame:
 def _logged_stream(spark: SparkSession, sf: str, latest: DataFrame) -> str:
     out = new_path(spark, "log")
     answers = _scored_stream(spark, sf, latest)
-    score_streaming.finish(
+    finish(
         score_streaming.log_stream(spark, answers, out, new_path(spark, "checkpoint"))
     )
     return out
@@ -634,7 +635,7 @@ def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
     schema = score_streaming.read_loads(spark, path).schema
     stream = spark.readStream.schema(schema).option("basePath", path).parquet(path)
     out = new_path(spark, "daily")
-    score_streaming.finish(
+    finish(
         drift_streaming.drift_stream(
             stream, profile(latest, ("limit_bal", "age")), out, new_path(spark, "checkpoint")
         )

@@ -12,6 +12,7 @@ from riskloom.operators.log import CLUSTERING, LOG_INPUTS, LOG_SCHEMA, by_day, d
 from riskloom.operators.scoring import Scorer, fixture_scorer, score_requests
 from riskloom.sources.requests import attach_records, event_requests
 from riskloom.sources.tables import SCHEMAS
+from riskloom.streaming.sink import write_batch
 
 # A repeated request is recognised within this span of event time.
 REPEAT_WITHIN = "2 days"
@@ -31,29 +32,12 @@ def event_stream(
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def once_per_event(
-    events: DataFrame, time: str = "ts", repeat_within: str = REPEAT_WITHIN
-) -> DataFrame:
+def once_per_event(events: DataFrame, repeat_within: str = REPEAT_WITHIN) -> DataFrame:
     """Each event id once, however often it is delivered within the watermark.
 
     The state holds the ids of that span only, so it does not grow with the stream.
     """
-    return events.withWatermark(time, repeat_within).dropDuplicatesWithinWatermark(["event_id"])
-
-
-def finish(query: StreamingQuery) -> None:
-    """Wait for the query, and fail if events came too late to be told from repeats.
-
-    Such events are left out by the watermark; score their files as a batch instead.
-    """
-    query.awaitTermination()
-    late = sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
-    if late:
-        raise RuntimeError(f"{late} events arrived later than the watermark allows")
+    return events.withWatermark("ts", repeat_within).dropDuplicatesWithinWatermark(["event_id"])
 
 
 def score_stream(
@@ -69,8 +53,8 @@ def score_stream(
     """Score every arriving request and write results under ``out/batch=<id>``.
 
     ``accounts`` is a stored table with one row per client. Joining inside the batch
-    lets the hot-key split and AQE work on each batch. A batch that is run again
-    replaces its own folder, so a retry neither doubles nor loses rows.
+    lets the hot-key split and AQE work on each batch. Every batch owns a folder, so a
+    retry neither doubles nor loses rows.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -79,7 +63,7 @@ def score_stream(
         requests = attach_records(event_requests(batch), accounts)
         results = score_requests(requests, threshold, model_version, scorer, keep)
         day = results.withColumn("day", day_of("predicted_at"))
-        day.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        write_batch(day, f"{out}/batch={batch_id}")
         batch.unpersist()
 
     return (
@@ -108,8 +92,7 @@ def log_stream(spark: SparkSession, scored: str, log: str, checkpoint: str) -> S
     """Copy scored results into the prediction log, partitioned by day.
 
     A query of its own: when the log cannot be written, it stops and later resumes where
-    it was, while scoring goes on. Each batch owns a folder, so a retry replaces it; a
-    scoring batch that was run again is recognised by its event ids.
+    it was, while scoring goes on. Stateless: results hold each event once.
     """
     stream = (
         spark.readStream.schema(results_schema())
@@ -120,11 +103,10 @@ def log_stream(spark: SparkSession, scored: str, log: str, checkpoint: str) -> S
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = by_day(declared(batch, LOG_SCHEMA), "predicted_at", CLUSTERING)
-        rows.write.mode("overwrite").partitionBy("day").parquet(f"{log}/load={batch_id}")
+        write_batch(rows, f"{log}/load={batch_id}", ["day"])
 
     return (
-        once_per_event(stream, "predicted_at")
-        .writeStream.foreachBatch(write)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -32,6 +32,8 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
+            # Plans are checked as text; keep their details whole.
+            "spark.sql.maxMetadataStringLength": "100000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work")),
         },
     )
