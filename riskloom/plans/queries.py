@@ -588,7 +588,8 @@ def _scored_stream(spark: SparkSession, sf: str, latest: DataFrame) -> str:
     out = new_path(spark, "scored")
     finish(
         score_streaming.score_stream(
-            score_streaming.event_stream(spark, sf),
+            # A pattern, as the table may be one file or a folder of files.
+            score_streaming.event_stream(spark, f"{sf}/events.parquet*"),
             latest,
             out,
             new_path(spark, "checkpoint"),

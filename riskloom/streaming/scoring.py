@@ -19,15 +19,15 @@ REPEAT_WITHIN = "2 days"
 KEPT = ("event_id", "predicted_at", *LOG_INPUTS)
 
 
-def event_stream(
-    spark: SparkSession, folder: str, files: str = "events.parquet", files_per_trigger: int = 1000
-) -> DataFrame:
-    """Events as they arrive; times as instants, which watermarks need."""
+def event_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
+    """Events as they arrive; times as instants, which watermarks need.
+
+    ``path`` is a folder, or a pattern of files and folders.
+    """
     stream = (
         spark.readStream.schema(SCHEMAS["events"])
-        .option("pathGlobFilter", files)
         .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(folder)
+        .parquet(path)
     )
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 

@@ -56,7 +56,7 @@ def arrivals(spark, tmp_path_factory):
 def scored(spark, latest, arrivals):
     out, checkpoint = new_path(spark, "scored"), new_path(spark, "checkpoint")
     for _ in range(2):  # a restart finds nothing new
-        source = event_stream(spark, arrivals, "*.parquet", files_per_trigger=1)
+        source = event_stream(spark, arrivals, files_per_trigger=1)
         finish(score_stream(source, latest, out, checkpoint, 0.3, "v1"))
     return out
 
@@ -121,7 +121,7 @@ def test_events_too_late_for_the_watermark_are_an_error(spark, latest, tmp_path)
 
     def arrive(part):
         part.coalesce(1).write.mode("append").parquet(folder)
-        source = event_stream(spark, folder, "*.parquet", files_per_trigger=1)
+        source = event_stream(spark, folder, files_per_trigger=1)
         finish(score_stream(source, latest, out, checkpoint, 0.3, "v1"))
 
     arrive(events.filter("ts >= '2024-01-20'"))
