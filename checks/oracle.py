@@ -505,6 +505,11 @@ ORACLE["land_raw"] = sql(
     f"SELECT {ACCOUNT_ROW}, '2026-01-02 00:00:00' AS ingested_at, 'panel://accounts' AS source_uri"
     " FROM accounts",
 )
+ORACLE["delivery_report"] = sql(
+    "accounts",
+    "SELECT '' AS missing_columns, count(*) AS n, (SELECT count(*) FROM customer) AS expected,"
+    " count(*) = (SELECT count(*) FROM customer) AS complete FROM accounts",
+)
 ORACLE["write_read_parquet"] = sql("raw", f"SELECT {RAW_ROW} FROM raw")
 ORACLE["dated_replay"] = sql(
     "raw",
@@ -866,6 +871,8 @@ ORACLE["drift_job"] = sql(
     _since,
 )
 
+ORACLE["drift_job_features"] = ORACLE["drift_table"]
+
 ORACLE["stream_scoring"] = ORACLE["score_decisions"]
 ORACLE["stream_log"] = ORACLE["score_counters"]
 ORACLE["stream_drift"] = ORACLE["drift_by_day"]

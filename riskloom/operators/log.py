@@ -62,9 +62,15 @@ def append_by_day(df: DataFrame, path: str, time: str, sort: Sequence[str] = ())
     by_day(df, time, sort).write.mode("append").partitionBy("day").parquet(path)
 
 
-def append_log(results: DataFrame, path: str) -> None:
+def log_schema(features: Sequence[str] = ()) -> dict[str, str]:
+    """The log's columns, and on request features beside the raw inputs, so that drift
+    can watch them too."""
+    return {**LOG_SCHEMA, **{f: "double" for f in features if f not in LOG_SCHEMA}}
+
+
+def append_log(results: DataFrame, path: str, features: Sequence[str] = ()) -> None:
     """Append result rows to the prediction log, clustered by version and decision."""
-    append_by_day(declared(results, LOG_SCHEMA), path, "predicted_at", CLUSTERING)
+    append_by_day(declared(results, log_schema(features)), path, "predicted_at", CLUSTERING)
 
 
 def append_drift(drift: DataFrame, path: str) -> None:
@@ -72,9 +78,11 @@ def append_drift(drift: DataFrame, path: str) -> None:
     append_by_day(declared(drift, DRIFT_SCHEMA), path, "computed_at")
 
 
-def read_log(spark: SparkSession, path: str, since_day: str | None = None) -> DataFrame:
+def read_log(
+    spark: SparkSession, path: str, since_day: str | None = None, features: Sequence[str] = ()
+) -> DataFrame:
     """The prediction log; ``since_day`` prunes whole partitions."""
-    ddl = ", ".join(f"{c} {t}" for c, t in LOG_SCHEMA.items())
+    ddl = ", ".join(f"{c} {t}" for c, t in log_schema(features).items())
     log = spark.read.schema(f"{ddl}, day string").parquet(path)
     return log if since_day is None else log.filter(F.col("day") >= since_day)
 

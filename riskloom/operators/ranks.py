@@ -19,20 +19,36 @@ from riskloom.session import materialise
 
 MAX_BUCKETS = 2048
 ROWS_PER_BUCKET = 250_000
-ACCURACY = 20_000
-# Half-width, in ranks per row, of the value range searched around a quantile.
-SLACK = 3.0 / ACCURACY
+# Rows looked at per cut point, and at most to guess where quantiles lie. Samples only
+# choose the value ranges to work in; the results come from all rows.
+SAMPLE_PER_CUT = 200
+SAMPLE_ROWS = 500_000
+SAMPLE_SEED = 17
+# Up to this many values a column is searched as a whole.
+WHOLE_ROWS = 50_000
+ACCURACY = 10_000
+
+
+def _sample(df: DataFrame, rows: int, wanted: int) -> DataFrame:
+    """About ``wanted`` of the ``rows``, so that one task can summarise them."""
+    return df if rows <= wanted else df.sample(wanted / rows, SAMPLE_SEED)
+
+
+def _double(value: float) -> str:
+    return f"double('{value!r}')"
 
 
 def _cut_points(df: DataFrame, order: str, rows_per_bucket: int) -> list[float]:
-    """Increasing values that cut ``df`` into ranges of at most about ``rows_per_bucket``
-    rows. Only this list, shorter than MAX_BUCKETS, reaches the driver."""
-    wanted = min(MAX_BUCKETS, -(-df.count() // rows_per_bucket))
+    """Increasing values that cut ``df`` into ranges of about ``rows_per_bucket`` rows.
+    Only this list, shorter than MAX_BUCKETS, reaches the driver."""
+    rows = df.count()
+    wanted = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
     if wanted < 2:
         return []
-    grid = ", ".join(f"double('{i / wanted!r}')" for i in range(1, wanted))
-    text = f"percentile_approx(cast({order} as double), array({grid}), {ACCURACY})"
-    return sorted(set(df.agg(F.expr(text).alias("cuts")).first()["cuts"]))
+    grid = ", ".join(_double(i / wanted) for i in range(1, wanted))
+    text = f"percentile_approx(cast({order} as double), array({grid}), {10 * wanted})"
+    few = _sample(df, rows, wanted * SAMPLE_PER_CUT)
+    return sorted(set(few.agg(F.expr(text).alias("cuts")).first()["cuts"] or ()))
 
 
 def running_totals(
@@ -122,26 +138,14 @@ def _disjoint(ranges: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return merged
 
 
-def _slot(column: str, ranges: list[tuple[float, float]]) -> str:
-    """Odd inside a range, even in the gaps between them; increasing with the value."""
-    steps = [
-        f"int({column} >= {_double(low)}) + int({column} > {_double(high)})"
-        for low, high in ranges
-    ]
-    return " + ".join(steps)
-
-
-def _double(value: float) -> str:
-    return f"double('{value!r}')"
-
-
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], quantiles: Sequence[Fraction | str | float]
 ) -> dict[str, Quantiles]:
     """Exact, linearly interpolated quantiles of each column; NULL and NaN are skipped.
 
-    A sketch first narrows every wanted rank to a small value range. Only the values in
-    those ranges are shuffled, as (value, count) pairs; all others are merely counted.
+    A sample first narrows every wanted rank to a small value range. Only the values in
+    those ranges are shuffled, as (value, count) pairs; for all others it is only counted
+    how many lie below a range.
     Should a range miss its rank, that column is done again with all its values. The
     driver sees counts per range and the values asked for, never the data.
     """
@@ -149,7 +153,9 @@ def exact_quantiles(
     # NaN becomes NULL once, here; aggregates then skip both.
     double = {c: f"cast({c} as double)" for c in columns}
     values = df.selectExpr(*(f"if(isnan({x}), null, {x}) AS {c}" for c, x in double.items()))
-    sizes, sketch = _sketch(values, columns, fractions)
+    counts = ["count(*) AS rows", *(f"count({c}) AS count__{c}" for c in columns)]
+    row = values.agg(*map(F.expr, counts)).first()
+    sizes = {c: row[f"count__{c}"] for c in columns}
     ranks = {
         c: {r for q in fractions for r in _ranks_of(sizes[c], q)} for c in columns if sizes[c]
     }
@@ -157,8 +163,10 @@ def exact_quantiles(
         return {c: Quantiles(0, (None,) * len(fractions)) for c in columns}
 
     whole = [(float("-inf"), float("inf"))]
-    # On a short column neighbouring ranks lie further apart than the sketch's slack.
-    ranges = {c: sketch[c] if sizes[c] * SLACK > 4 else whole for c in ranks}
+    long = [c for c in ranks if sizes[c] > WHOLE_ROWS]
+    ranges = dict.fromkeys(ranks, whole)
+    if long:
+        ranges.update(_likely_ranges(values, row["rows"], {c: sizes[c] for c in long}, fractions))
     found = _values_at(values, ranks, ranges)
     missed = {c: r for c, r in ranks.items() if any((c, k) not in found for k in r)}
     if missed:
@@ -185,31 +193,33 @@ def _ranks_of(n: int, q: Fraction) -> tuple[int, ...]:
     return (rank,) if step == 0 else (rank, rank + 1)
 
 
-def _sketch(
-    values: DataFrame, columns: Sequence[str], fractions: list[Fraction]
-) -> tuple[dict[str, int], dict[str, list[tuple[float, float]]]]:
-    """Valid counts, and value ranges around every quantile, from one approximate pass."""
-    around = [(float(q) - SLACK, float(q) + SLACK) for q in fractions]
-    probabilities = [min(max(p, 0.0), 1.0) for pair in around for p in pair]
-    grid = f"array({', '.join(_double(p) for p in probabilities)})"
-    aggregates = []
-    for c in columns:
-        aggregates.append(f"count({c}) AS count__{c}")
+def _likely_ranges(
+    values: DataFrame, rows: int, sizes: dict[str, int], fractions: list[Fraction]
+) -> dict[str, list[tuple[float, float]]]:
+    """Value ranges around every quantile, five standard errors of a sample wide."""
+    share = min(1.0, SAMPLE_ROWS / rows)
+    around, aggregates = {}, []
+    for c, n in sizes.items():
+        seen = max(n * share, 1.0)
+        slack = 2.0 / ACCURACY + 2.0 / seen + (2.5 / seen**0.5 if share < 1 else 0.0)
+        around[c] = [(float(q) - slack, float(q) + slack) for q in fractions]
+        bounds = (min(max(p, 0.0), 1.0) for pair in around[c] for p in pair)
+        grid = f"array({', '.join(map(_double, bounds))})"
         aggregates.append(f"percentile_approx({c}, {grid}, {ACCURACY}) AS {c}")
-    row = values.agg(*map(F.expr, aggregates)).first()
-    ranges = {}
-    for c in columns:
-        if row[c] is not None:
-            ranges[c] = _disjoint(
-                [
-                    (
-                        float("-inf") if low <= 0 else row[c][2 * k],
-                        float("inf") if high >= 1 else row[c][2 * k + 1],
-                    )
-                    for k, (low, high) in enumerate(around)
-                ]
-            )
-    return {c: row[f"count__{c}"] for c in columns}, ranges
+    row = _sample(values, rows, SAMPLE_ROWS).agg(*map(F.expr, aggregates)).first()
+    return {
+        c: _disjoint(
+            [
+                (
+                    float("-inf") if low <= 0 else row[c][2 * k],
+                    float("inf") if high >= 1 else row[c][2 * k + 1],
+                )
+                for k, (low, high) in enumerate(around[c])
+            ]
+        )
+        for c in sizes
+        if row[c] is not None
+    }
 
 
 def _values_at(
@@ -219,40 +229,60 @@ def _values_at(
 ) -> dict[tuple[str, int], float]:
     """Values at the wanted ranks, as far as they lie inside the given ranges."""
     spark = values.sparkSession
+    places = {
+        (c, k): f"({c} >= {_double(low)} AND {c} <= {_double(high)})"
+        for c in ranks
+        for k, (low, high) in enumerate(ranges[c])
+    }
+    starts = _rows_below(values, {c: [low for low, _ in ranges[c]] for c in ranks})
+    # Rows without any value in a range are dropped before anything is unpivoted.
     cells = ", ".join(
-        f"named_struct('feature', '{c}', 'slot', {_slot(c, ranges[c])}, 'value', {c})"
+        f"named_struct('feature', '{c}', 'place', CASE "
+        + " ".join(f"WHEN {places[c, k]} THEN {k}" for k in range(len(ranges[c])))
+        + f" END, 'value', {c})"
         for c in ranks
     )
-    # Outside the ranges only the slot counts; those rows add up on the map side.
     counted = materialise(
-        values.selectExpr(f"inline(array({cells}))")
-        .filter("value IS NOT NULL")
-        .selectExpr("feature", "slot", "if(slot % 2 = 1, value, null) AS value")
-        .groupBy("feature", "slot", "value")
+        values.filter(" OR ".join(places.values()))
+        .selectExpr(f"inline(array({cells}))")
+        .filter("place IS NOT NULL")
+        .groupBy("feature", "place", "value")
         .agg(F.count("*").alias("n"))
     )
-    # Two rows per range and one per gap and column: bounded by the ranks asked for.
-    per_slot = counted.groupBy("feature", "slot").agg(F.sum("n").alias("n")).collect()
-    targets = []
-    for c, wanted in ranks.items():
-        start = 0
-        for slot, n in sorted((r["slot"], r["n"]) for r in per_slot if r["feature"] == c):
-            if slot % 2 == 1:
-                targets += [(c, slot, r, r - start) for r in wanted if start <= r < start + n]
-            start += n
+    # One row per range: bounded by the ranks asked for.
+    inside = counted.groupBy("feature", "place").agg(F.sum("n").alias("n")).collect()
+    targets = [
+        (r["feature"], r["place"], k, k - starts[r["feature"], r["place"]])
+        for r in inside
+        for k in ranks[r["feature"]]
+        if 0 <= k - starts[r["feature"], r["place"]] < r["n"]
+    ]
     if not targets:
         return {}
-    ranked = running_totals(
-        counted.filter(F.col("slot") % 2 == 1), "value", ["n"], ["feature", "slot"]
-    )
-    wanted_rows = spark.createDataFrame(targets, "feature string, slot int, rank long, inner long")
+    ranked = running_totals(counted, "value", ["n"], ["feature", "place"])
+    wanted = spark.createDataFrame(targets, "feature string, place int, rank long, inner long")
     hits = (
-        ranked.join(F.broadcast(wanted_rows), ["feature", "slot"])
-        .filter(
-            (F.col("inner") >= F.col("before_n"))
-            & (F.col("inner") < F.col("before_n") + F.col("n"))
-        )
+        ranked.join(F.broadcast(wanted), ["feature", "place"])
+        .filter("inner >= before_n AND inner < before_n + n")
         .select("feature", "rank", "value")
         .collect()
     )
     return {(r["feature"], r["rank"]): r["value"] for r in hits}
+
+
+def _rows_below(
+    values: DataFrame, bounds: dict[str, list[float]]
+) -> dict[tuple[str, int], int]:
+    """Rows below each bound, counted in one scan without a shuffle of rows."""
+    names = {
+        (c, k): f"count_if({c} < {_double(low)}) AS below__{c}__{k}"
+        for c, lows in bounds.items()
+        for k, low in enumerate(lows)
+        if low > float("-inf")
+    }
+    row = values.agg(*map(F.expr, names.values())).first() if names else {}
+    return {
+        (c, k): row[f"below__{c}__{k}"] if (c, k) in names else 0
+        for c, lows in bounds.items()
+        for k in range(len(lows))
+    }

@@ -168,6 +168,16 @@ def land_raw(spark: SparkSession, sf: str) -> DataFrame:
     return shown(landing.land(delivered, INGESTED_AT, PANEL_URI))
 
 
+@query
+def delivery_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Schema and row-count guards against one row per customer."""
+    expected = read_table(spark, sf, "customer").count()
+    delivered = landing.as_delivered(accounts(spark, sf))
+    landing.check_columns(delivered)
+    landing.check_row_count(delivered, expected)
+    return landing.delivery_report(delivered, expected)
+
+
 @query
 def source_checksums(spark: SparkSession, sf: str) -> DataFrame:
     return landing.file_checksums(spark, sf)
@@ -581,6 +591,26 @@ def drift_job(spark: SparkSession, sf: str) -> DataFrame:
     return shown(spark.read.parquet(out).drop("computed_at", "day"))
 
 
+@query
+def drift_job_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The check over a log that keeps the tracked features, so that all are watched."""
+    path = new_path(spark, "log")
+    latest = stored_latest(spark, sf)
+    table = materialise(features(clean.clean_rows(latest)))
+    asked = scoring.request_features(
+        scoring.accepted(requests(spark, sf, latest)), keep=("predicted_at", *scoring.RAW_INPUTS)
+    )
+    answers = scoring.decide(
+        scoring.fixture_scorer(asked),
+        valid_threshold(latest),
+        VERSION,
+        keep=("predicted_at", *log.LOG_INPUTS, *(f for f in TRACKED_FEATURES if f not in log.LOG_INPUTS)),
+    )
+    log.append_log(answers, path, TRACKED_FEATURES)
+    logged = log.read_log(spark, path, features=TRACKED_FEATURES)
+    return shown(drift_check(table, logged).drop("computed_at"))
+
+
 # ---- streams -------------------------------------------------------------------------
 
 

@@ -46,6 +46,17 @@ def check_row_count(df: DataFrame, expected: int = FULL_DELIVERY) -> None:
         raise LandingError(f"expected {expected} rows, got {rows}")
 
 
+def delivery_report(df: DataFrame, expected: int = FULL_DELIVERY) -> DataFrame:
+    """Missing columns, row count and verdict of a delivery, as one row."""
+    missing = ",".join(sorted(set(SOURCE_NAMES) - set(df.columns)))
+    return df.agg(F.count("*").alias("n")).selectExpr(
+        f"'{missing}' AS missing_columns",
+        "n",
+        f"{expected}L AS expected",
+        f"n = {expected} AND '{missing}' = '' AS complete",
+    )
+
+
 def land(df: DataFrame, ingested_at: str, source_uri: str) -> DataFrame:
     """Rename to the raw table's columns in fixed order and add lineage."""
     check_columns(df)

@@ -64,7 +64,7 @@ def test_quantiles_of_short_columns(spark, n):
     assert np.allclose(found["b"].values, np.quantile(b, qs), rtol=0, atol=1e-12)
 
 
-def _long_column(n=40_000):
+def _long_column(n=60_000):
     rng = np.random.default_rng(5)
     smooth = rng.normal(size=n)
     # One value holds a third of the rows.
@@ -72,9 +72,11 @@ def _long_column(n=40_000):
     return smooth, hot
 
 
-def test_quantiles_of_long_columns_use_value_ranges(spark, monkeypatch):
+@pytest.mark.parametrize("sample", [5_000, 1_000_000])
+def test_quantiles_of_long_columns_use_value_ranges(spark, monkeypatch, sample):
+    monkeypatch.setattr(ranks, "SAMPLE_ROWS", sample)
     smooth, hot = _long_column()
-    assert len(smooth) * ranks.SLACK > 4
+    assert len(smooth) > ranks.WHOLE_ROWS
     df = spark.createDataFrame(
         [(float(x), float(y)) for x, y in zip(smooth, hot)], "smooth double, hot double"
     )
@@ -96,18 +98,21 @@ def test_quantiles_of_long_columns_use_value_ranges(spark, monkeypatch):
 def test_a_missed_range_is_searched_again_in_full(spark, monkeypatch):
     smooth, _ = _long_column()
     df = spark.createDataFrame([(float(x),) for x in smooth], "v double")
-    original = ranks._sketch
-
-    def wrong(values, columns, fractions):
-        sizes, _ = original(values, columns, fractions)
-        return sizes, {c: [(100.0, 200.0)] for c in columns}
-
-    monkeypatch.setattr(ranks, "_sketch", wrong)
+    monkeypatch.setattr(ranks, "_likely_ranges", lambda *a: {"v": [(100.0, 200.0)]})
     assert exact_quantiles(df, ["v"], ["0.5"])["v"].values[0] == pytest.approx(
         np.median(smooth), abs=1e-12
     )
 
 
+def test_sampled_cut_points_still_give_exact_totals(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "SAMPLE_PER_CUT", 5)
+    rng = np.random.default_rng(4)
+    values = np.unique(rng.normal(size=5000))
+    df = spark.createDataFrame([(float(v), 1) for v in values], "v double, n long")
+    out = running_totals(df, "v", ["n"], rows_per_bucket=100).orderBy("v").collect()
+    assert [r["before_n"] for r in out] == list(range(len(values)))
+
+
 def test_null_and_nan_are_skipped_and_empty_is_none(spark):
     df = spark.createDataFrame(
         [(1.0, None), (float("nan"), None), (None, None), (3.0, None)], "a double, b double"
