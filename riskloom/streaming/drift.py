@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.config import Monitoring
 from riskloom.operators.drift import Profile, count_traffic, drift_rows
+from riskloom.streaming.sink import start
 
 LATE_BY = "2 days"
 
@@ -35,13 +36,13 @@ def drift_stream(
         rows = drift_rows(profile, batch, ["day"], monitoring)
         rows.write.mode("overwrite").parquet(f"{out}/epoch={batch_id}")
 
-    return (
+    writer = (
         days.writeStream.outputMode("update")
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    return start(writer, log.sparkSession)
 
 
 def read_daily_drift(spark: SparkSession, out: str) -> DataFrame:

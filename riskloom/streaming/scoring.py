@@ -12,7 +12,7 @@ from riskloom.operators.log import CLUSTERING, LOG_INPUTS, LOG_SCHEMA, by_day, d
 from riskloom.operators.scoring import Scorer, fixture_scorer, score_requests
 from riskloom.sources.requests import attach_records, event_requests
 from riskloom.sources.tables import SCHEMAS
-from riskloom.streaming.sink import write_batch
+from riskloom.streaming.sink import start, write_batch
 
 # A repeated request is recognised within this span of event time.
 REPEAT_WITHIN = "2 days"
@@ -66,13 +66,13 @@ def score_stream(
         write_batch(day, f"{out}/batch={batch_id}")
         batch.unpersist()
 
-    return (
+    writer = (
         once_per_event(events)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    return start(writer, accounts.sparkSession)
 
 
 def results_schema(keep: Sequence[str] = KEPT) -> str:
