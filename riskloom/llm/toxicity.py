@@ -3,12 +3,13 @@
 The kernel of two words counts their common subsequences of 3 and 4 characters inside 6
 neighbouring ones, each gap halving the weight, so an insult keeps most of its similarity
 when characters are put in or left out. Words that labelled sentences tie to the toxic
-label are the positive examples. A text scores by its worst word.
+label, whatever their neighbours, are the positive examples. A text scores by its worst word.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -29,6 +30,8 @@ SAMPLE, POSITIVES, NEGATIVES, LANDMARKS = 10_000, 2_000, 6_000, 160
 #: Longer words are read in pieces that overlap by SPAN characters.
 PIECE = 64
 FOLDS, HELD_OUT = 5, 0
+#: Share of a telling word's contexts that lie in toxic texts.
+PURITY = 0.9
 
 #: Characters written for letters.
 LEET = dict(zip("0134578@$!", "oieastbasi"))
@@ -154,23 +157,18 @@ def fit_machine(positive: list[str], negative: list[str], landmarks: int = LANDM
     return weights.astype(np.float32), float(w[-1])
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts that hold a word, or a word's first 4 or 5 characters (after \\x01), by label."""
-    schema = pa.schema([("unit", pa.string()), ("pos", pa.int64()), ("neg", pa.int64())])
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each word with a hash of its neighbours and the label of its text."""
+    schema = pa.schema([("unit", pa.string()), ("context", pa.int64()), ("toxic", pa.int32())])
     for batch in batches:
         for low in range(0, batch.num_rows, 512):
-            counts: dict[str, list[int]] = {}
-            part = batch.slice(low, 512)
+            part, rows = batch.slice(low, 512), set()
             for text, toxic in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist()):
-                mine = {fold(w) for w in units(text)}
-                mine |= {"\x01" + w[:n] for w in mine for n in (4, 5) if len(w) > n + 1}
-                for w in mine:
+                words = [fold(w) for w in units(text)]
+                for before, w, after in zip(["", *words], words, [*words[1:], ""]):
                     if 0 < len(w) <= PIECE:
-                        counts.setdefault(w, [0, 0])[0 if toxic else 1] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(counts, pa.string()), pa.array([v[0] for v in counts.values()], pa.int64()), pa.array([v[1] for v in counts.values()], pa.int64())],
-                schema=schema,
-            )
+                        rows.add((w, zlib.crc32(f"{before} {after}".encode()), toxic))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), schema.types)] if rows else [[], [], []], schema=schema)
 
 
 def _worst(weights: np.ndarray, bias: float, a: float, b: float, keep: list[str]):
@@ -234,31 +232,42 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     if not n_pos or not n_neg:
         return nothing
     spread = rows.repartition(max(2, spark.sparkContext.defaultParallelism))
-    words = spread.mapInArrow(_count_words, "unit string, pos long, neg long")
-    words = stored(words.groupBy("unit").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "toxic-words")
-    rate, n = n_pos / (n_pos + n_neg), F.col("pos") + F.col("neg")
+    # A word counts once per pair of neighbours: copies of a text add nothing.
+    seen = spread.mapInArrow(_contexts, "unit string, context long, toxic int")
+    seen = seen.groupBy("unit", "context").agg(F.min("toxic").alias("toxic"))
+    seen = seen.groupBy("unit").agg(F.sum("toxic").alias("pos"), F.sum(1 - F.col("toxic")).alias("neg"))
+    words = stored(seen, "toxic-words")
+    total = words.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.count(F.lit(1)).alias("v")).first()
+    if not total["p"] or not total["n"]:
+        return nothing
+    rate, n = total["p"] / (total["p"] + total["n"]), F.col("pos") + F.col("neg")
 
     def part(k, expected):
         return F.when(k > 0, k * F.log(k / (n * expected))).otherwise(0.0)
 
-    # Likelihood ratio against "a label like any other", at a level that allows for as many tries as words.
-    level = 2 * float(np.log(max(2, words.count()))) + 6
+    # Likelihood ratio against "a label like any other", at a level that allows for as many
+    # tries as there are words; of words, and of what words of more characters begin with.
+    level = 2 * float(np.log(max(2, total["v"]))) + 6
     ratio = 2 * (part(F.col("pos"), rate) + part(F.col("neg"), 1 - rate))
-    signs = words.withColumn("g", ratio).where((F.col("g") >= level) & (F.col("pos") / n >= max(0.8, (1 + rate) / 2)))
-    signs = stored(signs, "toxic-signs")
-    heads = signs.where(F.substring("unit", 1, 1) == "\x01").select(F.substring("unit", 2, 5).alias("head"), F.col("g").alias("hg"))
-    plain = words.where(F.substring("unit", 1, 1) != "\x01")
-    by_head = [
-        plain.join(heads.where(F.length("head") == k), F.substring("unit", 1, k) == F.col("head")).select("unit", "hg")
+    telling = (ratio >= level) & (F.col("pos") / n >= PURITY)
+    heads = [
+        words.where(F.length("unit") > k + 1)
+        .groupBy(F.substring("unit", 1, k).alias("head"))
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        .where(telling)
+        .select("head", ratio.alias("g"))
         for k in (4, 5)
     ]
-    bad = signs.where(F.substring("unit", 1, 1) != "\x01").select("unit", F.col("g").alias("hg"))
-    bad = bad.unionByName(by_head[0]).unionByName(by_head[1]).groupBy("unit").agg(F.max("hg").alias("g"))
-    bad = bad.join(plain, "unit").where(F.col("pos") / n >= max(0.8, (1 + rate) / 2))
+    signs = words.where(telling).select("unit", ratio.alias("g"))
+    for k, head in zip((4, 5), heads):
+        signs = signs.unionByName(
+            words.where(F.length("unit") > k + 1).join(head, F.substring("unit", 1, k) == F.col("head")).select("unit", "g")
+        )
+    bad = stored(signs.groupBy("unit").agg(F.max("g").alias("g")).join(words, "unit").where(F.col("pos") / n >= PURITY), "toxic-signs")
     positive = [r["unit"] for r in bad.orderBy(F.desc("g"), F.desc("pos"), "unit").limit(POSITIVES).collect()]
     if not positive:
         return nothing
-    clean = plain.join(signs.select("unit"), "unit", "left_anti").where(F.col("neg") / n >= 0.5 * (1 - rate))
+    clean = words.join(bad.select("unit"), "unit", "left_anti").where(F.col("neg") > 0)
     common = clean.orderBy(F.desc("neg"), "unit").limit(NEGATIVES // 2).collect()
     other = clean.orderBy(F.xxhash64("unit"), "unit").limit(NEGATIVES // 2).collect()
     taken = set(positive)
