@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from riskloom.llm import decontaminate, mixing, sharding, topk, toxicity, warc
+from riskloom.llm import brown, decontaminate, jaccard, mixing, repeats, sharding, toolcalls, topk, toxicity, warc
 
 QUERIES = {
+    "op1_brown_class_scores": brown.op1_brown_class_scores,
     "op2_exact_top_k": topk.op2_exact_top_k,
+    "op3_lsh_forest_join": jaccard.op3_lsh_forest_join,
     "op4_warc_salvage": warc.op4_warc_salvage,
     "op5_template_decontamination": decontaminate.op5_template_decontamination,
+    "op6_link_tool_calls": toolcalls.op6_link_tool_calls,
     "op7_string_kernel_toxicity": toxicity.op7_string_kernel_toxicity,
     "op8_rendezvous_shards": sharding.op8_rendezvous_shards,
+    "op9_fm_index_repeats": repeats.op9_fm_index_repeats,
     "op10_golden_ratio_mix": mixing.op10_golden_ratio_mix,
 }
 
@@ -17,5 +21,6 @@ ORACLE = {
     "op2_exact_top_k": topk.ORACLE,
     "op4_warc_salvage": warc.ORACLE,
     "op8_rendezvous_shards": sharding.ORACLE,
+    "op9_fm_index_repeats": repeats.ORACLE,
     "op10_golden_ratio_mix": mixing.ORACLE,
 }
