@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontaminate, mixing, sharding, toxicity
+from riskloom.llm import decontaminate, jaccard, mixing, sharding, toxicity
 from riskloom.llm.base import stored, table
 
 
@@ -13,6 +13,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.clean_documents(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that five-word shingles link at 0.8 or more."""
+    return jaccard.one_per_class(docs)
+
+
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of ``benchmark``."""
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -30,6 +35,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_near_duplicates),
     ("benchmark decontamination", drop_benchmark),
     ("mixing sources to target weights", mix_sources),
     ("sharding", shard),
