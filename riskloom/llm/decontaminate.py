@@ -40,13 +40,16 @@ def _slots(text: Column) -> Column:
     return F.regexp_replace(t, rf"(?<=[\p{{L}}{NUMBER},;] )\p{{Lu}}\p{{Ll}}+(?:['’-]\p{{L}}+)*", NAME)
 
 
-def template_words(text: Column) -> Column:
-    """Lower-case words without punctuation, with placeholders."""
+def template(text: Column) -> Column:
+    """Lower-case text without punctuation, with placeholders."""
     t = F.lower(_slots(text))
     names = "|".join(sorted((u.replace("$", r"\$") for u in UNITS), key=len, reverse=True))
     t = F.regexp_replace(t, rf"{NUMBER}[ ]?(?:{names})(?![\p{{L}}\p{{N}}])", f"{NUMBER} {UNIT}")
-    t = F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}\s{NUMBER}{NAME}{UNIT}]+", "")
-    return F.filter(F.split(t, r"\s+"), lambda w: w != "")
+    return F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}\s{NUMBER}{NAME}{UNIT}]+", "")
+
+
+def template_words(text: Column) -> Column:
+    return F.filter(F.split(template(text), r"\s+"), lambda w: w != "")
 
 
 def slot_values(text: Column) -> Column:
@@ -67,7 +70,11 @@ def windows(rows: DataFrame, keys: list[str], text: str, lengths: list[int]) ->
     ``slots`` holds the values behind the window's placeholders, or null if it has none.
     """
     words, marks = F.col("_words"), [NUMBER, NAME, UNIT]
-    base = rows.select(*keys, template_words(F.col(text)).alias("_words"), slot_values(F.col(text)).alias("_values"))
+    base = rows.select(*keys, F.col(text).alias("_text"), template(F.col(text)).alias("_template"))
+    # Only texts with a placeholder are searched for the values behind them.
+    some = F.contains("_template", F.lit(NUMBER)) | F.contains("_template", F.lit(NAME))
+    values = F.when(some, slot_values(F.col("_text"))).otherwise(F.array().cast("array<string>"))
+    base = base.select(*keys, F.filter(F.split("_template", r"\s+"), lambda w: w != "").alias("_words"), values.alias("_values"))
 
     def is_slot(w: Column) -> Column:
         return w.isin(marks)

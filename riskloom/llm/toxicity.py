@@ -188,7 +188,7 @@ def _worst(weights: np.ndarray, bias: float, a: float, b: float, keep: list[str]
                     known = list(ids)
                     score = np.concatenate([word_scores(known[i : i + 20_000], weights, bias) for i in range(0, len(known), 20_000)])
                     per = score[np.asarray(words)]
-                    starts = np.r_[0, ends[:-1]]
+                    starts = np.array([0, *ends[:-1]], np.int64)
                     some = np.asarray(ends) > starts
                     found[some] = np.maximum.reduceat(per, starts[some])
                 found = np.clip(found, -2.0, 2.0)
