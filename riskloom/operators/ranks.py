@@ -7,8 +7,10 @@ range is summed in its own task and shifted by the totals of the ranges before i
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass, replace
 from fractions import Fraction
 
 from pyspark.ml.feature import Bucketizer
@@ -17,18 +19,49 @@ from pyspark.sql import functions as F
 
 from riskloom.session import materialise
 
-MAX_BUCKETS = 2048
-ROWS_PER_BUCKET = 250_000
-# Rows looked at per cut point, and at most to guess where quantiles lie. Samples only
-# choose the value ranges to work in; the results come from all rows.
-SAMPLE_PER_CUT = 200
-SAMPLE_ROWS = 500_000
 SAMPLE_SEED = 17
-# Up to this many values a column is searched as a whole.
-WHOLE_ROWS = 50_000
 ACCURACY = 10_000
 
 
+@dataclass(frozen=True)
+class RankPlan:
+    """How the work is cut; every plan gives the same results.
+
+    ``rows_per_bucket``: rows of a value range, which is one task's work; below it a key's
+    rows are one range. ``sample_per_cut`` and ``sample_rows``: rows looked at per cut point,
+    and to guess where quantiles lie; samples choose the ranges to work in, the results
+    come from all rows. ``whole_rows``: up to so many values a column is searched whole.
+    ``least_ranges``: ranges to cut into even if the rows are few, so that small tables can
+    check the plan of large ones.
+    """
+
+    rows_per_bucket: int = 250_000
+    sample_per_cut: int = 200
+    sample_rows: int = 500_000
+    whole_rows: int = 50_000
+    least_ranges: int = 1
+
+
+_PLAN: ContextVar[RankPlan] = ContextVar("rank_plan", default=RankPlan())
+
+
+@contextmanager
+def rank_plan(**settings: int) -> Iterator[RankPlan]:
+    """Use other plan settings while operators build their frames."""
+    token = _PLAN.set(replace(_PLAN.get(), **settings))
+    try:
+        yield _PLAN.get()
+    finally:
+        _PLAN.reset(token)
+
+
+def _free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` begins with it."""
+    while any(c.lower().startswith(name) for c in df.columns):
+        name += "_"
+    return name
+
+
 def _sample(df: DataFrame, rows: int, wanted: int) -> DataFrame:
     """About ``wanted`` of the ``rows``, so that one task can summarise them."""
     return df if rows <= wanted else df.sample(wanted / rows, SAMPLE_SEED)
@@ -40,14 +73,14 @@ def _double(value: float) -> str:
 
 def _cut_points(df: DataFrame, order: str, rows_per_bucket: int) -> list[float]:
     """Increasing values that cut ``df`` into ranges of about ``rows_per_bucket`` rows.
-    Only this list, shorter than MAX_BUCKETS, reaches the driver."""
+    Only this list, one number per range, reaches the driver."""
     rows = df.count()
-    wanted = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
+    wanted = max(_PLAN.get().least_ranges, -(-rows // rows_per_bucket))
     if wanted < 2:
         return []
     grid = ", ".join(_double(i / wanted) for i in range(1, wanted))
     text = f"percentile_approx(cast({order} as double), array({grid}), {10 * wanted})"
-    few = _sample(df, rows, wanted * SAMPLE_PER_CUT)
+    few = _sample(df, rows, wanted * _PLAN.get().sample_per_cut)
     return sorted(set(few.agg(F.expr(text).alias("cuts")).first()["cuts"] or ()))
 
 
@@ -58,16 +91,17 @@ def running_totals(
     keys: Sequence[str] = (),
     *,
     descending: bool = False,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Add ``before_<c>`` (sum over the rows ahead) and ``total_<c>`` (sum per key).
 
     ``order`` must be numeric and unique within a key, neither it nor the keys NULL, and
     ``df`` cheap to read again (see ``materialise``). The cut points are literals in the
-    plan, so every re-run of a task puts a row into the same range.
+    plan, so every re-run of a task puts a row into the same range. ``rows_per_bucket``
+    defaults to the ``rank_plan`` in force. Columns of ``df`` may have any names.
     """
     keys = list(keys)
-    cuts = _cut_points(df, order, rows_per_bucket)
+    cuts = _cut_points(df, order, rows_per_bucket or _PLAN.get().rows_per_bucket)
     direction = F.desc(order) if descending else F.asc(order)
     zero = F.lit(0)
     if not cuts:
@@ -83,32 +117,34 @@ def running_totals(
         )
 
     edges = [float("-inf"), *cuts, float("inf")]
-    numeric = df.withColumn("_order", F.col(order).cast("double"))
-    ranged = Bucketizer(splits=edges, inputCol="_order", outputCol="_range").transform(numeric)
-    ranged = ranged.withColumn("_range", F.col("_range").cast("int")).drop("_order")
-
-    # At most MAX_BUCKETS rows per key, so a window per key is small whatever df holds.
-    range_order = Window.partitionBy(*keys).orderBy(F.desc("_range") if descending else "_range")
+    number, place = _free_name(df, "_order"), _free_name(df, "_range")
+    inner, outer = _free_name(df, "_in"), _free_name(df, "_at")
+    numeric = df.withColumn(number, F.col(order).cast("double"))
+    ranged = Bucketizer(splits=edges, inputCol=number, outputCol=place).transform(numeric)
+    ranged = ranged.withColumn(place, F.col(place).cast("int")).drop(number)
+
+    # One row per range and key: a window over them is short.
+    range_order = Window.partitionBy(*keys).orderBy(F.desc(place) if descending else place)
     range_order = range_order.rowsBetween(Window.unboundedPreceding, -1)
     group = Window.partitionBy(*keys)
     offsets = (
-        ranged.groupBy(*keys, "_range")
+        ranged.groupBy(*keys, place)
         .agg(*(F.sum(c).alias(f"_sum_{c}") for c in sums))
         .select(
             *keys,
-            "_range",
-            *(F.coalesce(F.sum(f"_sum_{c}").over(range_order), zero).alias(f"_at_{c}") for c in sums),
+            place,
+            *(F.coalesce(F.sum(f"_sum_{c}").over(range_order), zero).alias(f"{outer}_{c}") for c in sums),
             *(F.sum(f"_sum_{c}").over(group).alias(f"total_{c}") for c in sums),
         )
     )
-    ahead = Window.partitionBy(*keys, "_range").orderBy(direction)
+    ahead = Window.partitionBy(*keys, place).orderBy(direction)
     ahead = ahead.rowsBetween(Window.unboundedPreceding, -1)
     within = ranged.withColumns(
-        {f"_in_{c}": F.coalesce(F.sum(c).over(ahead), zero) for c in sums}
+        {f"{inner}_{c}": F.coalesce(F.sum(c).over(ahead), zero) for c in sums}
     )
-    return within.join(offsets, [*keys, "_range"]).select(
+    return within.join(offsets, [*keys, place]).select(
         *(F.col(c) for c in df.columns),
-        *((F.col(f"_at_{c}") + F.col(f"_in_{c}")).alias(f"before_{c}") for c in sums),
+        *((F.col(f"{outer}_{c}") + F.col(f"{inner}_{c}")).alias(f"before_{c}") for c in sums),
         *(F.col(f"total_{c}") for c in sums),
     )
 
@@ -163,7 +199,7 @@ def exact_quantiles(
         return {c: Quantiles(0, (None,) * len(fractions)) for c in columns}
 
     whole = [(float("-inf"), float("inf"))]
-    long = [c for c in ranks if sizes[c] > WHOLE_ROWS]
+    long = [c for c in ranks if sizes[c] > _PLAN.get().whole_rows]
     ranges = dict.fromkeys(ranks, whole)
     if long:
         ranges.update(_likely_ranges(values, row["rows"], {c: sizes[c] for c in long}, fractions))
@@ -197,7 +233,8 @@ def _likely_ranges(
     values: DataFrame, rows: int, sizes: dict[str, int], fractions: list[Fraction]
 ) -> dict[str, list[tuple[float, float]]]:
     """Value ranges around every quantile, five standard errors of a sample wide."""
-    share = min(1.0, SAMPLE_ROWS / rows)
+    wanted = _PLAN.get().sample_rows
+    share = min(1.0, wanted / rows)
     around, aggregates = {}, []
     for c, n in sizes.items():
         seen = max(n * share, 1.0)
@@ -206,7 +243,7 @@ def _likely_ranges(
         bounds = (min(max(p, 0.0), 1.0) for pair in around[c] for p in pair)
         grid = f"array({', '.join(map(_double, bounds))})"
         aggregates.append(f"percentile_approx({c}, {grid}, {ACCURACY}) AS {c}")
-    row = _sample(values, rows, SAMPLE_ROWS).agg(*map(F.expr, aggregates)).first()
+    row = _sample(values, rows, wanted).agg(*map(F.expr, aggregates)).first()
     return {
         c: _disjoint(
             [

@@ -9,6 +9,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, TimestampNTZType, TimestampType
@@ -50,6 +52,7 @@ from riskloom.sources.requests import attach_records, event_requests, shift_limi
 from riskloom.sources.tables import read_table
 from riskloom.streaming import drift as drift_streaming
 from riskloom.streaming import scoring as score_streaming
+from riskloom.operators.ranks import rank_plan
 from riskloom.streaming.sink import finish
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -812,3 +815,24 @@ def model_scoring(spark: SparkSession, sf: str) -> DataFrame:
 
 
 __all__ = ["QUERIES"]
+
+
+# ---- the plan of large tables, checked on small ones ---------------------------------
+
+#: These run cut into ranges, and with quantiles narrowed by a sample, at every size.
+RANGED = (
+    "cv_folds", "cost_curve", "optimal_threshold", "ranking_metrics", "metrics_row", "calibration", "fairness",
+    "cost_sweep", "lgd_stats", "prob_summary", "impute_median", "standardise", "drift_table",
+)
+
+
+def ranged(fn: Query) -> Query:
+    @wraps(fn)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        with rank_plan(least_ranges=4, whole_rows=0):
+            return fn(spark, sf)
+
+    return run
+
+
+QUERIES.update({name: ranged(QUERIES[name]) for name in RANGED})

@@ -3,6 +3,12 @@ dated folders."""
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +30,8 @@ SOURCE_NAMES = {
     "default payment next month": "default_next_month",
 }
 FULL_DELIVERY = 30_000
-# One binary value cannot hold more than this.
-MAX_CHECKSUM_BYTES = 2**31 - 1
+# Bytes of a file held at a time while it is hashed.
+CHECKSUM_PIECE = 8 << 20
 
 
 class LandingError(ValueError):
@@ -36,14 +42,14 @@ def check_columns(df: DataFrame) -> None:
     """Fail naming every expected column that is missing, before any job runs."""
     missing = sorted(set(SOURCE_NAMES) - set(df.columns))
     if missing:
-        raise LandingError(f"source schema changed; missing columns: {missing}")
+        raise LandingError(f"the delivery lacks these columns: {missing}")
 
 
 def check_row_count(df: DataFrame, expected: int = FULL_DELIVERY) -> None:
     """Fail when the delivery is not complete."""
     rows = df.count()
     if rows != expected:
-        raise LandingError(f"expected {expected} rows, got {rows}")
+        raise LandingError(f"the delivery holds {rows} rows instead of {expected}")
 
 
 def delivery_report(df: DataFrame, expected: int = FULL_DELIVERY) -> DataFrame:
@@ -69,15 +75,28 @@ def as_delivered(raw: DataFrame) -> DataFrame:
     return raw.select(*(F.col(b).alias(a) for a, b in SOURCE_NAMES.items()))
 
 
+def _hash_files(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        sums = []
+        for path in frame["path"]:
+            files, name = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+            total = hashlib.sha256()
+            with files.open_input_stream(name) as stream:
+                while piece := stream.read(CHECKSUM_PIECE):
+                    total.update(piece)
+            sums.append(total.hexdigest())
+        yield frame.assign(file=frame["path"].str.rsplit("/", n=1).str[-1], sha256=sums)[["file", "bytes", "sha256"]]
+
+
 def file_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 of each file below ``path``; NULL for a file too large for one value."""
+    """SHA-256 of each file below ``path``, of any size.
+
+    Spark lists the files; each is then read in pieces, so memory stays constant. The digest
+    of a file is sequential by its definition: one file is one task's work.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    small = F.col("length") <= MAX_CHECKSUM_BYTES
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
-        F.col("length").alias("bytes"),
-        F.when(small, F.sha2("content", 256)).alias("sha256"),
-    )
+    listed = files.select("path", F.col("length").alias("bytes"))
+    return listed.mapInPandas(_hash_files, "file string, bytes long, sha256 string")
 
 
 def verify_checksums(found: DataFrame, expected: dict[str, str]) -> None:

@@ -8,9 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.config import Monitoring
 from riskloom.operators.drift import Profile, count_traffic, drift_rows
-from riskloom.streaming.sink import start
-
-LATE_BY = "2 days"
+from riskloom.streaming.sink import ONCE
 
 
 def drift_stream(
@@ -20,15 +18,17 @@ def drift_stream(
     checkpoint: str,
     time: str = "predicted_at",
     monitoring: Monitoring | None = None,
+    trigger: dict = ONCE,
 ) -> StreamingQuery:
     """Bin counts per day as running state; every batch rewrites the days it touched.
 
-    The state is one row of counts per open day, whatever the traffic. Update mode also
-    reports the day still in progress, which append mode would hold back.
+    The state is one row of counts per day, whatever the traffic, and no row is ever too
+    late for its day. Update mode also reports the day still in progress. The state
+    partitions are the session's shuffle partitions at the first start.
     """
     days = count_traffic(
         profile,
-        log.withWatermark(time, LATE_BY),
+        log,
         [F.window(time, "1 day").alias("span")],
     ).withColumn("day", F.date_format("span.start", "yyyy-MM-dd"))
 
@@ -40,9 +40,8 @@ def drift_stream(
         days.writeStream.outputMode("update")
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
     )
-    return start(writer, log.sparkSession)
+    return writer.trigger(**trigger).start()
 
 
 def read_daily_drift(spark: SparkSession, out: str) -> DataFrame:

@@ -12,15 +12,13 @@ from riskloom.operators.log import CLUSTERING, LOG_INPUTS, LOG_SCHEMA, by_day, d
 from riskloom.operators.scoring import Scorer, fixture_scorer, score_requests
 from riskloom.sources.requests import attach_records, event_requests
 from riskloom.sources.tables import SCHEMAS
-from riskloom.streaming.sink import start, write_batch
+from riskloom.streaming.sink import ONCE, write_batch
 
-# A repeated request is recognised within this span of event time.
-REPEAT_WITHIN = "2 days"
 KEPT = ("event_id", "predicted_at", *LOG_INPUTS)
 
 
 def event_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Events as they arrive; times as instants, which watermarks need.
+    """Events as they arrive; times as instants.
 
     ``path`` is a folder, or a pattern of files and folders.
     """
@@ -32,12 +30,18 @@ def event_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def once_per_event(events: DataFrame, repeat_within: str = REPEAT_WITHIN) -> DataFrame:
-    """Each event id once, however often it is delivered within the watermark.
+def not_scored_yet(batch: DataFrame, out: str, batch_id: int) -> DataFrame:
+    """Each event id of a batch once, without those that an earlier batch scored.
 
-    The state holds the ids of that span only, so it does not grow with the stream.
+    An event keeps its time when it is delivered again, so only results of the batch's own
+    days are read. Nothing is ever too late, and no state grows with the stream.
     """
-    return events.withWatermark("ts", repeat_within).dropDuplicatesWithinWatermark(["event_id"])
+    once = batch.dropDuplicates(["event_id"])
+    if batch_id == 0:
+        return once
+    days = [r["day"] for r in batch.select(day_of("ts").alias("day")).distinct().collect()]
+    done = read_results(batch.sparkSession, out).where((F.col("batch") < batch_id) & F.col("day").isin(days))
+    return once.join(done.select("event_id"), "event_id", "left_anti")
 
 
 def score_stream(
@@ -49,6 +53,7 @@ def score_stream(
     model_version: str,
     scorer: Scorer = fixture_scorer,
     keep: Sequence[str] = KEPT,
+    trigger: dict = ONCE,
 ) -> StreamingQuery:
     """Score every arriving request and write results under ``out/batch=<id>``.
 
@@ -60,19 +65,14 @@ def score_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         # The split looks at the batch first; keep it instead of reading it again.
         batch.persist()
-        requests = attach_records(event_requests(batch), accounts)
+        requests = attach_records(event_requests(not_scored_yet(batch, out, batch_id)), accounts)
         results = score_requests(requests, threshold, model_version, scorer, keep)
         day = results.withColumn("day", day_of("predicted_at"))
-        write_batch(day, f"{out}/batch={batch_id}")
+        write_batch(day, f"{out}/batch={batch_id}", ["day"])
         batch.unpersist()
 
-    writer = (
-        once_per_event(events)
-        .writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-    )
-    return start(writer, accounts.sparkSession)
+    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
 
 
 def results_schema(keep: Sequence[str] = KEPT) -> str:
@@ -88,7 +88,9 @@ def read_results(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(results_schema()).option("basePath", out).parquet(out)
 
 
-def log_stream(spark: SparkSession, scored: str, log: str, checkpoint: str) -> StreamingQuery:
+def log_stream(
+    spark: SparkSession, scored: str, log: str, checkpoint: str, files_per_trigger: int = 1000, trigger: dict = ONCE
+) -> StreamingQuery:
     """Copy scored results into the prediction log, partitioned by day.
 
     A query of its own: when the log cannot be written, it stops and later resumes where
@@ -98,6 +100,7 @@ def log_stream(spark: SparkSession, scored: str, log: str, checkpoint: str) -> S
         spark.readStream.schema(results_schema())
         .option("basePath", scored)
         .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", files_per_trigger)
         .parquet(scored)
     )
 
@@ -108,7 +111,7 @@ def log_stream(spark: SparkSession, scored: str, log: str, checkpoint: str) -> S
     return (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 

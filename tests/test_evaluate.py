@@ -29,7 +29,7 @@ from riskloom.operators.evaluate import (
     ranked_scores,
     ranking_metrics,
 )
-from tests.conftest import beta_scores
+from tests.conftest import graded_scores
 
 COST = CostMatrix()
 
@@ -58,13 +58,13 @@ def average_precision(y, p):
 
 
 def test_confusion_counts(score_frame):
-    y, p = beta_scores()
+    y, p = graded_scores()
     row = confusion(score_frame(y, p), 0.3).first()
     assert row.asDict() == outcomes(y, p, 0.3)
 
 
 def test_curve_equals_brute_force_at_every_point(score_frame):
-    y, p = beta_scores()
+    y, p = graded_scores()
     curve = cost_curve(ranked_scores(score_frame(y, p)), COST).collect()
     assert len(curve) == len(set(p)) + 1
     for r in curve:
@@ -80,7 +80,7 @@ def test_tied_scores_leave_only_reachable_points(score_frame):
 
 
 def test_optimum_is_the_minimum_and_the_highest_of_equals(score_frame):
-    y, p = beta_scores()
+    y, p = graded_scores()
     t = fit_threshold(score_frame(y, p), COST)
     cost = COST.expected_cost(**outcomes(y, p, t))
     assert cost == min(COST.expected_cost(**outcomes(y, p, x)) for x in {*p, 0.0, 2.0})
@@ -90,7 +90,7 @@ def test_optimum_is_the_minimum_and_the_highest_of_equals(score_frame):
 
 
 def test_dearer_false_alarms_raise_the_threshold(score_frame):
-    y, p = beta_scores(1000, 3)
+    y, p = graded_scores(1000, 3)
     frame = score_frame(y, p)
     assert fit_threshold(frame, COST) < 0.5
     assert fit_threshold(frame, CostMatrix(false_positive=15000.0)) > fit_threshold(frame, COST)
@@ -104,7 +104,7 @@ def test_empty_scores_give_an_empty_curve_and_no_threshold(score_frame):
 
 
 def test_baselines_and_savings(score_frame):
-    y, p = beta_scores()
+    y, p = graded_scores()
     frame = score_frame(y, p)
     base = baseline_costs(frame, COST).first()
     assert base["intervene_none"] == y.sum() * 16000
@@ -115,7 +115,7 @@ def test_baselines_and_savings(score_frame):
 
 
 def test_metric_row_against_brute_force(score_frame):
-    y, p = beta_scores()
+    y, p = graded_scores()
     p = np.round(p, 2)
     row = metrics(ranked_scores(score_frame(y, p)), COST, 0.3).first()
     o = outcomes(y, p, 0.3)
@@ -149,7 +149,7 @@ def test_unit_cost():
 
 
 def test_fairness_covers_every_group(score_frame):
-    y, p = beta_scores()
+    y, p = graded_scores()
     groups = np.arange(600) % 2 + 1
     rows = fairness(score_frame(y, p, groups), 0.3, labels=SEX_LABELS).orderBy("code").collect()
     assert [r["group"] for r in rows] == ["male", "female"]
@@ -161,8 +161,8 @@ def test_fairness_covers_every_group(score_frame):
 
 
 def test_sweep_chooses_on_fit_and_measures_elsewhere(score_frame):
-    fy, fp = beta_scores(500, 1)
-    ty, tp = beta_scores(400, 2)
+    fy, fp = graded_scores(500, 1)
+    ty, tp = graded_scores(400, 2)
     rows = cost_sweep(
         ranked_scores(score_frame(fy, fp)), ranked_scores(score_frame(ty, tp)), COST
     ).collect()
@@ -179,7 +179,7 @@ def test_sweep_chooses_on_fit_and_measures_elsewhere(score_frame):
 
 
 def test_model_comparison_has_a_row_per_flavor(score_frame):
-    y, p = beta_scores()
+    y, p = graded_scores()
     frames = {"a": score_frame(y, p), "b": score_frame(y, 1 - p)}
     rows = {r["flavor"]: r for r in compare_models(frames, COST, {"a": 0.3, "b": 0.3}).collect()}
     assert rows["a"]["roc_auc"] + rows["b"]["roc_auc"] == pytest.approx(1.0)
@@ -212,7 +212,7 @@ def brute_bins(y, p, bins):
 
 @pytest.mark.parametrize("n, bins, digits", [(600, 5, 9), (599, 10, 2), (601, 10, 1), (7, 10, 1), (2, 3, 0)])
 def test_calibration_table_matches_row_ranks(score_frame, n, bins, digits):
-    y, p = beta_scores(n)
+    y, p = graded_scores(n)
     p = np.round(p, digits)
     rows = calibration_table(score_frame(y, p), bins).collect()
     assert {r["bin"]: (r["n"], pytest.approx(r["mean_predicted"]), pytest.approx(r["observed_rate"])) for r in rows} == brute_bins(y, p, bins)
@@ -220,7 +220,7 @@ def test_calibration_table_matches_row_ranks(score_frame, n, bins, digits):
 
 
 def test_calibration_with_one_score_in_half_of_the_rows_on_the_cut_path(score_frame, monkeypatch):
-    y, p = beta_scores(800)
+    y, p = graded_scores(800)
     p = np.where(np.arange(800) % 2 == 0, 0.25, p)
 
     def cut(df, order, sums, keys=(), **kw):
@@ -232,7 +232,7 @@ def test_calibration_with_one_score_in_half_of_the_rows_on_the_cut_path(score_fr
 
 
 def test_ranking_by_group_equals_ranking_each_group(score_frame):
-    y, p = beta_scores()
+    y, p = graded_scores()
     groups = np.arange(600) % 3
     whole = ranked_scores(score_frame(y, p, groups), ["sex"])
     for r in ranking_metrics(whole, ["sex"]).collect():

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import ranks
+from riskloom.operators.prep import stratified_folds
 from riskloom.operators.ranks import exact_quantiles, running_totals
 
 
@@ -74,9 +75,8 @@ def _long_column(n=60_000):
 
 @pytest.mark.parametrize("sample", [5_000, 1_000_000])
 def test_quantiles_of_long_columns_use_value_ranges(spark, monkeypatch, sample):
-    monkeypatch.setattr(ranks, "SAMPLE_ROWS", sample)
     smooth, hot = _long_column()
-    assert len(smooth) > ranks.WHOLE_ROWS
+    assert len(smooth) > ranks.RankPlan().whole_rows
     df = spark.createDataFrame(
         [(float(x), float(y)) for x, y in zip(smooth, hot)], "smooth double, hot double"
     )
@@ -89,7 +89,8 @@ def test_quantiles_of_long_columns_use_value_ranges(spark, monkeypatch, sample):
 
     monkeypatch.setattr(ranks, "_values_at", spy)
     qs = ["0", "0.1", "0.5", "0.95", "1"]
-    found = exact_quantiles(df, ["smooth", "hot"], qs)
+    with ranks.rank_plan(sample_rows=sample):
+        found = exact_quantiles(df, ["smooth", "hot"], qs)
     for c, data in (("smooth", smooth), ("hot", hot)):
         assert np.allclose(found[c].values, np.quantile(data, [float(q) for q in qs]), atol=1e-12)
     assert len(seen) == 1 and len(seen[0]["smooth"]) > 1
@@ -104,12 +105,29 @@ def test_a_missed_range_is_searched_again_in_full(spark, monkeypatch):
     )
 
 
-def test_sampled_cut_points_still_give_exact_totals(spark, monkeypatch):
-    monkeypatch.setattr(ranks, "SAMPLE_PER_CUT", 5)
+@pytest.mark.parametrize("name", ["_order", "_range", "_in", "_at", "v"])
+def test_columns_may_have_any_name(spark, name):
+    df = spark.range(300).selectExpr(f"cast(id * 37 % 300 AS double) AS {name}", "1L AS n", "id AS _order_", "id AS _at_n")
+    out = running_totals(df, name, ["n"], rows_per_bucket=20)
+    assert all(r["before_n"] == r[name] for r in out.collect()) and out.columns[:4] == df.columns
+
+
+def test_folds_are_even_on_both_plans(spark):
+    df = spark.range(600_000).selectExpr("id AS client_id", "cast(id % 5 = 0 AS int) AS default_next_month")
+    cut = stratified_folds(df, 4, 1)
+    with ranks.rank_plan(rows_per_bucket=10**9):
+        whole = stratified_folds(df, 4, 1)
+    sizes = {(r["default_next_month"], r["fold"]): r["count"] for r in cut.groupBy("default_next_month", "fold").count().collect()}
+    assert sizes == {(y, f): n for y, n in ((0, 120_000), (1, 30_000)) for f in range(4)}
+    assert cut.join(whole, ["client_id", "fold"]).count() == 600_000
+
+
+def test_sampled_cut_points_still_give_exact_totals(spark):
     rng = np.random.default_rng(4)
     values = np.unique(rng.normal(size=5000))
     df = spark.createDataFrame([(float(v), 1) for v in values], "v double, n long")
-    out = running_totals(df, "v", ["n"], rows_per_bucket=100).orderBy("v").collect()
+    with ranks.rank_plan(sample_per_cut=5, rows_per_bucket=100):
+        out = running_totals(df, "v", ["n"]).orderBy("v").collect()
     assert [r["before_n"] for r in out] == list(range(len(values)))
 
 

@@ -30,8 +30,8 @@ from riskloom.sources.requests import shift_limits
 from tests.conftest import account, synthetic
 
 EXAMPLE = dict(
-    client_id=1, limit=20000, statuses=(2, 2, -1, -1, -2, -2),
-    bills=(3913, 3102, 689, 0, 0, 0), pays=(0, 689, 0, 0, 0, 0), age=24,
+    client_id=77, limit=90000, statuses=(2, 1, 0, 0, -1, 0),
+    bills=(45000, 44000, 30000, 20000, 10000, 500), pays=(1500, 15000, 11000, 10500, 9700, 500), age=41,
 )
 
 
@@ -44,19 +44,17 @@ def test_valid_request_gets_one_result(make):
 @pytest.mark.parametrize(
     "change, field",
     [
-        ({"age": 5}, "age"),
-        ({"age": 150}, "age"),
+        ({"age": 17}, "age"),
+        ({"age": 101}, "age"),
         ({"limit": 0}, "limit_bal"),
-        ({"limit": -5000}, "limit_bal"),
-        ({"statuses": (15, 0, 0, 0, 0, 0)}, "pay_status_1"),
-        ({"statuses": (-5, 0, 0, 0, 0, 0)}, "pay_status_1"),
-        ({"education": 99}, "education"),
-        ({"education": None}, "education"),
-        ({"sex": 3}, "sex"),
-        ({"marriage": 4}, "marriage"),
+        ({"statuses": (0, 0, -3, 0, 0, 0)}, "pay_status_3"),
+        ({"statuses": (0, 0, 0, 0, 0, 10)}, "pay_status_6"),
+        ({"education": 7}, "education"),
+        ({"marriage": None}, "marriage"),
+        ({"sex": 0}, "sex"),
         ({"client_id": -1}, "client_id"),
-        ({"pays": (-100, 0, 0, 0, 0, 0)}, "pay_amt_1"),
-        ({"bills": (0, 0, 0, 0, 0, 1e9)}, "bill_amt_6"),
+        ({"pays": (0, 0, 0, -0.01, 0, 0)}, "pay_amt_4"),
+        ({"bills": (0, 2e9, 0, 0, 0, 0)}, "bill_amt_2"),
     ],
 )
 def test_out_of_bounds_requests_are_quarantined_with_the_reason(make, change, field):
@@ -70,13 +68,15 @@ def test_negative_bill_is_accepted(make):
     assert accepted(frame).count() == 1 and quarantined(frame).count() == 0
 
 
-def test_delinquent_scores_above_pristine(make):
-    rows = [
-        account(1, 200000, (-1,) * 6, (5000,) * 6, (5000,) * 6),
-        account(2, 200000, (3,) * 6, (190000,) * 6),
-    ]
+@pytest.mark.parametrize("change", [{"age": 18}, {"age": 100}, {"limit": 0.01}, {"statuses": (-2, 9, 0, 0, 0, 0)}, {"client_id": 0}])
+def test_values_on_the_bounds_are_accepted(make, change):
+    assert accepted(make([account(**{**EXAMPLE, **change})])).count() == 1
+
+
+def test_scores_rise_with_each_month_of_delay(make):
+    rows = [account(k, 60000, (k,) * 6, (30000,) * 6, (1000,) * 6) for k in range(5)]
     out = {r["client_id"]: r["default_probability"] for r in score_requests(make(rows), 0.3, "v").collect()}
-    assert out[2] > out[1]
+    assert sorted(out, key=out.get) == list(range(5))
 
 
 def test_bands_and_decisions_at_their_bounds(spark):

@@ -63,7 +63,7 @@ def test_landing_names_missing_columns(make):
 
 def test_row_count_guard(make):
     landing.check_row_count(delivered(make), 20)
-    with pytest.raises(landing.LandingError, match="expected 30000 rows, got 20"):
+    with pytest.raises(landing.LandingError, match="20 rows instead of 30000"):
         landing.check_row_count(delivered(make))
 
 
@@ -77,6 +77,19 @@ def test_checksums(spark, tmp_path):
         landing.verify_checksums(found, {**expected, "b.bin": "0", "c.bin": "0"})
 
 
+def test_checksum_of_a_file_over_two_gigabytes(spark, tmp_path):
+    (tmp_path / "small").write_bytes(b"small")
+    size = 2**31 + 5
+    with (tmp_path / "large").open("wb") as f:
+        f.truncate(size)
+    total, piece = hashlib.sha256(), bytes(1 << 24)
+    for _ in range(size // len(piece)):
+        total.update(piece)
+    total.update(bytes(size % len(piece)))
+    found = {r["file"]: (r["bytes"], r["sha256"]) for r in landing.file_checksums(spark, str(tmp_path)).collect()}
+    assert found == {"small": (5, hashlib.sha256(b"small").hexdigest()), "large": (size, total.hexdigest())}
+
+
 def test_write_once_skips_unless_forced(spark, make, tmp_path):
     path = str(tmp_path / "raw")
     for n, force, rows in ((5, False, 5), (8, False, 5), (8, True, 8)):
