@@ -753,7 +753,7 @@ _batches = {
 }
 ORACLE["batch_status"] = sql(
     "headers",
-    "SELECT *, CASE WHEN records > 20 THEN 'oversized' WHEN duplicated_clients > 0 THEN"
+    "SELECT *, CASE WHEN records > 500 THEN 'oversized' WHEN duplicated_clients > 0 THEN"
     " 'duplicate_ids' ELSE 'ok' END AS status FROM batches",
     _batches,
 )
@@ -857,10 +857,8 @@ ORACLE["drift_alerts"] = sql(
     " AS alerting, count(*) FILTER (WHERE status = 'alert') AS n_alerts, max(psi) AS max_psi FROM drift",
     _shifted,
 )
-_daily = drift_ctes(
-    ["limit_bal", "age"], long("results", ["limit_bal", "age"], f", {DAY} AS day"), "day"
-)
-ORACLE["drift_by_day"] = sql("feat results", f"SELECT day, {DRIFT_ROW} FROM drift", _daily)
+_daily = drift_ctes(TRACKED, long("served", TRACKED, f", {DAY} AS day"), "day")
+ORACLE["drift_by_day"] = sql("feat served", f"SELECT day, {DRIFT_ROW} FROM drift", _daily)
 _since = drift_ctes(
     ["limit_bal", "age"],
     long("results", ["limit_bal", "age"], "", " WHERE predicted_at >= TIMESTAMP '2024-01-15'"),
@@ -871,6 +869,29 @@ ORACLE["drift_job"] = sql(
     _since,
 )
 
+ORACLE["drift_job_whole"] = sql(
+    "feat results",
+    "SELECT feature, psi, status, baseline_n, current_n FROM drift",
+    drift_ctes(["limit_bal", "age"], long("results", ["limit_bal", "age"])),
+)
+ORACLE["drift_edge_cases"] = (
+    "SELECT * FROM (VALUES ('constant', 0e0, 'stable', true), ('no_baseline', NULL, 'unknown', false),"
+    " ('no_traffic', NULL, 'unknown', false), ('some_nan', 0e0, 'stable', false))"
+    " AS t(feature, psi, status, constant_baseline)"
+)
+ORACLE["client_history"] = sql(
+    "results",
+    f"SELECT event_id, client_id, {stamp('predicted_at', 'predicted_at')}, model_version, decision,"
+    " round(default_probability, 6) AS default_probability FROM results WHERE client_id = (SELECT"
+    " client_id FROM results GROUP BY client_id ORDER BY count(*) DESC, client_id LIMIT 1)",
+)
+ORACLE["model_inputs"] = sql(
+    "feat",
+    " UNION ALL ".join(
+        f"SELECT {k} AS position, '{c}' AS name, count({c}) AS n FROM feat"
+        for k, c in enumerate(FEATURES)
+    ),
+)
 ORACLE["drift_job_features"] = ORACLE["drift_table"]
 
 ORACLE["stream_scoring"] = ORACLE["score_decisions"]

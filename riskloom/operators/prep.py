@@ -14,7 +14,7 @@ from riskloom.config import NOMINAL_COLUMNS
 from riskloom.operators.ranks import exact_quantiles, running_totals
 from riskloom.session import materialise
 
-# More levels than this means the column is not nominal.
+# More levels than this, unless the caller allows more, means the column is not nominal.
 MAX_LEVELS = 1000
 
 
@@ -68,14 +68,16 @@ def _number(value: float | None) -> str:
     return "0.0D" if value is None else f"double('{float(value)!r}')"
 
 
-def fit_levels(train: DataFrame, nominal: Sequence[str] = NOMINAL_COLUMNS) -> dict[str, tuple]:
-    """Sorted levels of each nominal column; refuses a column with too many."""
+def fit_levels(
+    train: DataFrame, nominal: Sequence[str] = NOMINAL_COLUMNS, max_levels: int = MAX_LEVELS
+) -> dict[str, tuple]:
+    """Sorted levels of each nominal column; refuses a column with more than ``max_levels``."""
     out = {}
     for c in nominal:
-        found = train.select(c).filter(F.col(c).isNotNull()).distinct().limit(MAX_LEVELS + 1)
+        found = train.select(c).filter(F.col(c).isNotNull()).distinct().limit(max_levels + 1)
         levels = sorted(r[c] for r in found.collect())
-        if len(levels) > MAX_LEVELS:
-            raise ValueError(f"{c} has more than {MAX_LEVELS} levels")
+        if len(levels) > max_levels:
+            raise ValueError(f"{c} has more than {max_levels} levels")
         out[c] = tuple(levels)
     return out
 

@@ -160,11 +160,15 @@ def score_requests(
     scorer: Scorer = fixture_scorer,
     keep: Sequence[str] = (),
     rule: SplitRule | None = None,
+    features: Sequence[str] = (),
 ) -> DataFrame:
-    """Valid requests to result rows: validate, features, score, decide. No shuffle."""
+    """Valid requests to result rows: validate, features, score, decide. No shuffle.
+
+    ``keep`` names request columns, ``features`` computed ones, that travel along.
+    """
     inputs = tuple(dict.fromkeys((*keep, *RAW_INPUTS)))
     built = request_features(accepted(requests), rule, inputs)
-    return decide(scorer(built), threshold, model_version, keep)
+    return decide(scorer(built), threshold, model_version, dict.fromkeys((*keep, *features)))
 
 
 def lost_requests(requests: DataFrame, scored: DataFrame, key: str = "client_id") -> DataFrame:

@@ -12,6 +12,7 @@ from riskloom.config import Monitoring
 from riskloom.operators.drift import Profile, drift_table, fit_profile, shared_features
 from riskloom.operators.features import split_frame
 from riskloom.operators.log import DRIFT_SCHEMA, append_drift
+from riskloom.session import materialise
 
 logger = logging.getLogger(__name__)
 
@@ -47,12 +48,18 @@ def drift_check(
         logger.warning("prediction log is empty, drift check skipped")
         return empty
     now = datetime.now(UTC).replace(tzinfo=None).isoformat(sep=" ")
-    result = drift_table(fit_baseline(features, current, m), current, monitoring=m).select(
+    rows = drift_table(fit_baseline(features, current, m), current, monitoring=m).select(
         F.lit(now).cast("timestamp").alias("computed_at"), "*"
     )
+    # One row per feature, computed once for the table, the alert and the caller.
+    result = materialise(rows)
     if persist_to:
         append_drift(result, persist_to)
-    alerting = [r["feature"] for r in result.filter("status = 'alert'").collect()]
+    found = result.select("feature", "psi", "status").collect()
+    alerting = sorted(r["feature"] for r in found if r["status"] == "alert")
     if alerting:
-        logger.error("drift alert: %s", ", ".join(sorted(alerting)))
+        logger.error("drift alert: %s", ", ".join(alerting))
+    else:
+        largest = max((r["psi"] for r in found if r["psi"] is not None), default=None)
+        logger.info("no drift alert, largest index %s", largest)
     return result

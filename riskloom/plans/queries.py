@@ -104,7 +104,8 @@ def feature_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored_features(spark: SparkSession, sf: str) -> DataFrame:
-    return materialise(feature_table(spark, sf))
+    """The feature table, in folders by split, so that a fit reads the training part alone."""
+    return materialise(feature_table(spark, sf), ["split_name"])
 
 
 def scored(latest: DataFrame, score: str = FIXTURE_SCORE) -> DataFrame:
@@ -130,16 +131,22 @@ def valid_threshold(latest: DataFrame) -> float:
 def requests(spark: SparkSession, sf: str, latest: DataFrame | None = None) -> DataFrame:
     """Events with the record of the account they ask about."""
     headers = event_requests(read_table(spark, sf, "events"))
-    return attach_records(headers, latest_accounts(spark, sf) if latest is None else latest)
+    return attach_records(headers, stored_latest(spark, sf) if latest is None else latest)
 
 
 def results(
-    spark: SparkSession, sf: str, keep: Sequence[str] = KEPT, latest: DataFrame | None = None
+    spark: SparkSession,
+    sf: str,
+    keep: Sequence[str] = KEPT,
+    latest: DataFrame | None = None,
+    features: Sequence[str] = (),
 ) -> DataFrame:
     """Scored requests with their inputs."""
     latest = stored_latest(spark, sf) if latest is None else latest
     asked = requests(spark, sf, latest)
-    return scoring.score_requests(asked, valid_threshold(latest), VERSION, keep=keep)
+    return scoring.score_requests(
+        asked, valid_threshold(latest), VERSION, keep=keep, features=features
+    )
 
 
 def profile(latest: DataFrame, names: Sequence[str] = TRACKED_FEATURES):
@@ -312,7 +319,7 @@ def split_sizes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def validate_features(spark: SparkSession, sf: str) -> DataFrame:
-    return validate.validation_report(feature_table(spark, sf))
+    return validate.validation_report(stored_features(spark, sf))
 
 
 # ---- documented figures --------------------------------------------------------------
@@ -452,7 +459,7 @@ def duplicate_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def batch_status(spark: SparkSession, sf: str) -> DataFrame:
-    return scoring.batch_status(event_requests(read_table(spark, sf, "events")), max_batch=20)
+    return scoring.batch_status(event_requests(read_table(spark, sf, "events")))
 
 
 @query
@@ -503,7 +510,8 @@ def score_counters(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def prob_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return shown(scoring.probability_summary(materialise(results(spark, sf, ("event_id",)))))
+    answers = results(spark, sf, ()).select("default_probability")
+    return shown(scoring.probability_summary(materialise(answers)))
 
 
 @query
@@ -542,6 +550,16 @@ def latest_decision(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def client_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Every logged decision on the client with the most of them (then the smallest id)."""
+    answers = materialise(results(spark, sf))
+    counts = answers.groupBy("client_id").agg(F.count("*").alias("n"))
+    busiest = counts.agg(F.max_by("client_id", F.struct("n", -F.col("client_id")))).first()[0]
+    rows = log.decisions_of(answers, busiest)
+    return shown(rows.select("event_id", "client_id", "predicted_at", "model_version", "decision", "default_probability"))
+
+
 @query
 def decision_history(spark: SparkSession, sf: str) -> DataFrame:
     return shown(log.version_history(results(spark, sf)))
@@ -574,8 +592,9 @@ def drift_alerts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def drift_by_day(spark: SparkSession, sf: str) -> DataFrame:
     latest = stored_latest(spark, sf)
-    logged = results(spark, sf, latest=latest).withColumn("day", log.day_of("predicted_at"))
-    return shown(drift.drift_table(profile(latest, ("limit_bal", "age")), logged, ("day",)))
+    logged = results(spark, sf, latest=latest, features=TRACKED_FEATURES)
+    logged = logged.withColumn("day", log.day_of("predicted_at"))
+    return shown(drift.drift_table(profile(latest), logged, ("day",)))
 
 
 @query
@@ -594,6 +613,37 @@ def drift_job(spark: SparkSession, sf: str) -> DataFrame:
     return shown(spark.read.parquet(out).drop("computed_at", "day"))
 
 
+@query
+def drift_job_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """The check over the whole log, without a first day."""
+    path, latest = new_path(spark, "log"), stored_latest(spark, sf)
+    log.append_log(results(spark, sf, latest=latest), path)
+    found = drift_check(
+        materialise(features(clean.clean_rows(latest))), log.read_log(spark, path), Monitoring()
+    )
+    return shown(found.select("feature", "psi", "status", "baseline_n", "current_n"))
+
+
+@query
+def drift_edge_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """A constant baseline, a side without values, and NaN among the traffic."""
+    train = split_frame(stored_features(spark, sf), "train")
+    nothing, number = "cast(null as double)", "cast(limit_bal as double)"
+    baseline = train.selectExpr(
+        "1.0D AS constant", f"{nothing} AS no_baseline", f"{number} AS no_traffic", f"{number} AS some_nan"
+    )
+    traffic = train.selectExpr(
+        f"{number} AS constant", f"{number} AS no_baseline", f"{nothing} AS no_traffic", f"{number} AS some_nan"
+    ).unionByName(train.selectExpr(f"{number} AS constant", *(
+        f"{t} AS {n}" for n, t in (
+            ("no_baseline", number), ("no_traffic", nothing), ("some_nan", "cast('NaN' as double)")
+        )
+    )))
+    names = ("constant", "no_baseline", "no_traffic", "some_nan")
+    found = drift.drift_table(drift.fit_profile(baseline, names), traffic)
+    return shown(found.select("feature", "psi", "status", "constant_baseline"))
+
+
 @query
 def drift_job_features(spark: SparkSession, sf: str) -> DataFrame:
     """The check over a log that keeps the tracked features, so that all are watched."""
@@ -628,6 +678,7 @@ def _scored_stream(spark: SparkSession, sf: str, latest: DataFrame) -> str:
             new_path(spark, "checkpoint"),
             valid_threshold(latest),
             VERSION,
+            features=TRACKED_FEATURES,
         )
     )
     return out
@@ -637,7 +688,7 @@ def _scored_stream(spark: SparkSession, sf: str, latest: DataFrame) -> str:
 def stream_scoring(spark: SparkSession, sf: str) -> DataFrame:
     return shown(
         score_streaming.read_results(
-            spark, _scored_stream(spark, sf, stored_latest(spark, sf))
+            spark, _scored_stream(spark, sf, stored_latest(spark, sf)), TRACKED_FEATURES
         ).select(
             "event_id", "client_id", "default_probability", "decision", "threshold", "risk_band",
             "model_version",
@@ -649,7 +700,9 @@ def _logged_stream(spark: SparkSession, sf: str, latest: DataFrame) -> str:
     out = new_path(spark, "log")
     answers = _scored_stream(spark, sf, latest)
     finish(
-        score_streaming.log_stream(spark, answers, out, new_path(spark, "checkpoint"))
+        score_streaming.log_stream(
+            spark, answers, out, new_path(spark, "checkpoint"), features=TRACKED_FEATURES
+        )
     )
     return out
 
@@ -666,12 +719,12 @@ def stream_log(spark: SparkSession, sf: str) -> DataFrame:
 def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
     latest = stored_latest(spark, sf)
     path = _logged_stream(spark, sf, latest)
-    schema = score_streaming.read_loads(spark, path).schema
+    schema = score_streaming.read_loads(spark, path, TRACKED_FEATURES).schema
     stream = spark.readStream.schema(schema).option("basePath", path).parquet(path)
     out = new_path(spark, "daily")
     finish(
         drift_streaming.drift_stream(
-            stream, profile(latest, ("limit_bal", "age")), out, new_path(spark, "checkpoint")
+            stream, profile(latest), out, new_path(spark, "checkpoint")
         )
     )
     return shown(drift_streaming.read_daily_drift(spark, out))
@@ -685,6 +738,19 @@ def fitted(spark: SparkSession, sf: str) -> tuple[DataFrame, prep.Preparation]:
     return table, prep.fit_preparation(split_frame(table, "train"), model_columns(table))
 
 
+@query
+def model_inputs(spark: SparkSession, sf: str) -> DataFrame:
+    """The required inputs of a model in training order, and how many values each has."""
+    table = stored_features(spark, sf)
+    names = model_columns(table)
+    inputs = scoring.require_columns(table, names)
+    counts = inputs.agg(*(F.count(c).alias(c) for c in names))
+    rows = ", ".join(
+        f"named_struct('position', {k}, 'name', '{c}', 'n', {c})" for k, c in enumerate(names)
+    )
+    return counts.selectExpr(f"inline(array({rows}))")
+
+
 @query
 def one_hot(spark: SparkSession, sf: str) -> DataFrame:
     table, p = fitted(spark, sf)

@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from riskloom.operators.log import CLUSTERING, LOG_INPUTS, LOG_SCHEMA, by_day, day_of, declared
+from riskloom.operators.log import (
+    CLUSTERING,
+    LOG_INPUTS,
+    LOG_SCHEMA,
+    by_day,
+    day_of,
+    declared,
+    log_schema,
+)
 from riskloom.operators.scoring import Scorer, fixture_scorer, score_requests
 from riskloom.sources.requests import attach_records, event_requests
 from riskloom.sources.tables import SCHEMAS
@@ -54,20 +62,23 @@ def score_stream(
     scorer: Scorer = fixture_scorer,
     keep: Sequence[str] = KEPT,
     trigger: dict = ONCE,
+    features: Sequence[str] = (),
 ) -> StreamingQuery:
     """Score every arriving request and write results under ``out/batch=<id>``.
 
     ``accounts`` is a stored table with one row per client. Joining inside the batch
     lets the hot-key split and AQE work on each batch. Every batch owns a folder, so a
-    retry neither doubles nor loses rows.
+    retry neither doubles nor loses rows. ``features`` are kept with the results, so that
+    the log and its drift can watch them.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # The split looks at the batch first; keep it instead of reading it again.
         batch.persist()
         requests = attach_records(event_requests(not_scored_yet(batch, out, batch_id)), accounts)
-        results = score_requests(requests, threshold, model_version, scorer, keep)
-        day = results.withColumn("day", day_of("predicted_at"))
+        results = score_requests(requests, threshold, model_version, scorer, keep, features=features)
+        typed = {f: F.col(f).cast("double") for f in features if f not in keep}
+        day = results.withColumns({**typed, "day": day_of("predicted_at")})
         write_batch(day, f"{out}/batch={batch_id}", ["day"])
         batch.unpersist()
 
@@ -75,21 +86,28 @@ def score_stream(
     return writer.trigger(**trigger).start()
 
 
-def results_schema(keep: Sequence[str] = KEPT) -> str:
+def results_schema(keep: Sequence[str] = KEPT, features: Sequence[str] = ()) -> str:
     """Column declaration of the scored results."""
-    types = {**LOG_SCHEMA, "event_id": "bigint"}
+    types = {**log_schema(features), "event_id": "bigint"}
     result = ("client_id", "default_probability", "decision", "threshold", "risk_band")
-    names = dict.fromkeys((*keep, *result, "model_version"))
+    names = dict.fromkeys((*keep, *features, *result, "model_version"))
     return ", ".join(f"{n} {types[n]}" for n in names) + ", day string, batch bigint"
 
 
-def read_results(spark: SparkSession, out: str) -> DataFrame:
+def read_results(spark: SparkSession, out: str, features: Sequence[str] = ()) -> DataFrame:
     """Everything scored so far."""
-    return spark.read.schema(results_schema()).option("basePath", out).parquet(out)
+    schema = results_schema(features=features)
+    return spark.read.schema(schema).option("basePath", out).parquet(out)
 
 
 def log_stream(
-    spark: SparkSession, scored: str, log: str, checkpoint: str, files_per_trigger: int = 1000, trigger: dict = ONCE
+    spark: SparkSession,
+    scored: str,
+    log: str,
+    checkpoint: str,
+    files_per_trigger: int = 1000,
+    trigger: dict = ONCE,
+    features: Sequence[str] = (),
 ) -> StreamingQuery:
     """Copy scored results into the prediction log, partitioned by day.
 
@@ -97,7 +115,7 @@ def log_stream(
     it was, while scoring goes on. Stateless: results hold each event once.
     """
     stream = (
-        spark.readStream.schema(results_schema())
+        spark.readStream.schema(results_schema(features=features))
         .option("basePath", scored)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_trigger)
@@ -105,7 +123,7 @@ def log_stream(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = by_day(declared(batch, LOG_SCHEMA), "predicted_at", CLUSTERING)
+        rows = by_day(declared(batch, log_schema(features)), "predicted_at", CLUSTERING)
         write_batch(rows, f"{log}/load={batch_id}", ["day"])
 
     return (
@@ -116,8 +134,8 @@ def log_stream(
     )
 
 
-def read_loads(spark: SparkSession, log: str) -> DataFrame:
+def read_loads(spark: SparkSession, log: str, features: Sequence[str] = ()) -> DataFrame:
     """The log written by ``log_stream``."""
-    ddl = ", ".join(f"{c} {t}" for c, t in LOG_SCHEMA.items())
+    ddl = ", ".join(f"{c} {t}" for c, t in log_schema(features).items())
     schema = f"{ddl}, load bigint, day string"
     return spark.read.schema(schema).option("basePath", log).parquet(log)
