@@ -942,3 +942,51 @@ ORACLE["cv_folds"] = sql(
     " FROM (SELECT default_next_month, row_number() OVER (PARTITION BY default_next_month"
     " ORDER BY client_id) - 1 AS k FROM train) GROUP BY ALL",
 )
+
+# ---- training ------------------------------------------------------------------------
+# Fitted numbers differ between engines; what must hold of them does not.
+
+_split = "(SELECT count(*) FROM feat WHERE split_name = '{}'{})"
+ORACLE["train_select"] = sql(
+    "feat",
+    "SELECT 'trees' AS flavor, 2 AS candidates, true AS best_on_valid,"
+    f" {_split.format('test', ' AND default_next_month = 1')} AS positives,"
+    f" {_split.format('test', ' AND default_next_month = 0')} AS negatives, true AS better_than_chance",
+)
+ORACLE["train_network"] = (
+    "SELECT 'network' AS flavor, CAST(r AS DOUBLE) AS fn_fp_ratio, true AS threshold_ok, true AS share_ok"
+    f" FROM (SELECT unnest([{', '.join(map(str, RATIOS))}]) AS r)"
+)
+ORACLE["search_settings"] = sql(
+    "train", "SELECT count(*) AS n, 20 AS settings, 4 AS folds, true AS best_chosen FROM train"
+)
+# Five indicators and the columns that are not nominal.
+ORACLE["linear_optimum"] = f"SELECT true AS at_optimum, {len(NUMERIC) + 5} AS inputs"
+_tied = {
+    "tied": "SELECT p, sum(y) AS pos, count(*) AS n FROM scores WHERE split_name = 'valid' GROUP BY p",
+    "summed": "SELECT p, n, row_number() OVER w AS k, sum(pos) OVER w AS pos, sum(n) OVER w AS upto,"
+    " sum(pos) OVER w - pos AS pos0, sum(n) OVER w - n AS upto0 FROM tied WINDOW w AS (ORDER BY p)",
+    "means": "SELECT i.k AS i, j.k AS j, (j.pos - i.pos0) / (j.upto - i.upto0) AS mean"
+    " FROM summed i JOIN summed j ON j.k >= i.k",
+    "least": "SELECT i, j, min(mean) OVER (PARTITION BY i ORDER BY j ROWS BETWEEN CURRENT ROW AND"
+    " UNBOUNDED FOLLOWING) AS mean FROM means",
+}
+ORACLE["isotonic_fit"] = sql(
+    "scores",
+    f"SELECT round(p, 6) AS p, n, {r6('mean', 'calibrated')} FROM summed JOIN"
+    " (SELECT j, max(mean) AS mean FROM least GROUP BY j) ON j = k",
+    _tied,
+)
+ORACLE["sigmoid_fit"] = sql(
+    "scores",
+    "SELECT true AS level_ok, true AS slope_ok, count(*) AS n FROM scores WHERE split_name = 'valid'",
+)
+ORACLE["calibrated_brier"] = sql(
+    "feat",
+    f"SELECT {_split.format('valid', '')} AS n, true AS isotonic_below_none, true AS isotonic_below_sigmoid",
+)
+ORACLE["model_scoring"] = sql(
+    "served",
+    f"SELECT '20260102T000000Z' AS model_version, {len(FEATURES)} AS inputs, 0.25e0 AS threshold,"
+    " count(*) AS scored, count(*) AS probabilities FROM served",
+)

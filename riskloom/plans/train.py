@@ -14,12 +14,14 @@ from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
+    LogisticRegressionModel,
+    MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
 )
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,7 +55,7 @@ BOOSTED_GRID = {
     "minInstancesPerNode": (20, 50, 100, 200),
     "maxIter": (200, 400),
 }
-# Share of the training rows that boosting watches in order to stop early.
+# Share of the training rows that boosting and the network watch in order to stop early.
 WATCHED = 0.15
 
 
@@ -90,6 +92,12 @@ class Candidate:
     score: str = "rawPrediction"
 
 
+def with_watched(df: DataFrame, settings: Settings) -> DataFrame:
+    """Add ``watched``: the training rows that tell a learner when to stop."""
+    draw = F.pmod(F.xxhash64(F.col("client_id"), F.lit(settings.model.seed)), F.lit(1000))
+    return df.withColumn("watched", draw < int(WATCHED * 1000))
+
+
 def logistic_candidate(settings: Settings) -> Candidate:
     """L2 logistic regression on imputed, standardised inputs."""
 
@@ -130,27 +138,65 @@ def boosted_candidate(settings: Settings, grid_values: dict | None = None) -> Ca
         return builder.build()
 
     def rows(df: DataFrame) -> DataFrame:
-        draw = F.pmod(F.xxhash64(F.col("client_id"), F.lit(settings.model.seed)), F.lit(1000))
-        return with_class_weight(df, settings.model.target).withColumn(
-            "watched", draw < int(WATCHED * 1000)
-        )
+        return with_watched(with_class_weight(df, settings.model.target), settings)
 
     return Candidate("boosted_trees", estimator, Preparation.with_sentinel, grid, rows)
 
 
+@dataclass(frozen=True)
+class PatientNetwork:
+    """Feed-forward network that stops when it gets no better on the watched rows.
+
+    It is fitted ``step`` iterations at a time, each time from where it was, until the
+    average precision of the watched rows has not risen ``patience`` times or
+    ``max_iter`` is used up; the best weights win.
+    """
+
+    layers: list[int]
+    label: str
+    max_iter: int
+    seed: int
+    step: int = 10
+    patience: int = 3
+
+    def fit(self, df: DataFrame, params: dict) -> MultilayerPerceptronClassificationModel:
+        learner = MultilayerPerceptronClassifier(
+            labelCol=self.label, layers=self.layers, maxIter=self.step, seed=self.seed
+        )
+        # Watched rows are judged as they are, once each.
+        fitting, judging = df.filter("not watched"), df.filter("watched and copy = 1")
+        best = model = None
+        top, since = -math.inf, 0
+        for _ in range(max(1, self.max_iter // self.step)):
+            start = {} if model is None else {learner.initialWeights: model.weights}
+            model = learner.fit(fitting, {**params, **start})
+            shown = model.transform(judging).select(
+                F.col(self.label).alias("y"), margin("probability").alias("p")
+            )
+            found = ranking_metrics(ranked_scores(shown)).first()
+            score = (found["pr_auc"] if found else None) or 0.0
+            if score > top:
+                best, top, since = model, score, 0
+            else:
+                since += 1
+            if since >= self.patience:
+                break
+        return best
+
+
 def network_candidate(settings: Settings) -> Candidate:
     """Feed-forward network. It takes no weights, so positives are repeated instead."""
 
-    def estimator(d: int) -> Estimator:
-        return MultilayerPerceptronClassifier(
-            labelCol=settings.model.target,
+    def estimator(d: int) -> PatientNetwork:
+        return PatientNetwork(
             layers=[d, *settings.model.mlp_hidden, 2],
-            maxIter=settings.model.mlp_max_iter,
+            label=settings.model.target,
+            max_iter=settings.model.mlp_max_iter,
             seed=settings.model.seed,
         )
 
     def rows(df: DataFrame) -> DataFrame:
-        return oversample_positives(df, settings.model.target)
+        return with_watched(oversample_positives(df, settings.model.target), settings)
 
     return Candidate(
         "neural_network",
@@ -174,6 +220,9 @@ class SearchResult:
     params: dict[str, Any]
     cv_pr_auc: float
     valid_pr_auc: float = math.nan
+    # Mean cross-validated score of each setting tried, and how many folds each had.
+    tried: list[float] = field(default_factory=list)
+    folds: int = 0
 
 
 def _input_size(prep: Preparation, numeric: dict[str, str]) -> int:
@@ -231,6 +280,8 @@ def search(
         pipeline=PipelineModel([stages, fitted]),
         params={p.name: v for p, v in grid[best].items()},
         cv_pr_auc=means[best],
+        tried=means if scores else [],
+        folds=len(scores),
     )
 
 
@@ -246,29 +297,43 @@ def calibrate(
     )
     counts = materialise(tied_counts(scored))
     if settings.model.calibration == "isotonic":
-        points = counts.selectExpr(
-            f"p AS {score}", "pos / cast(n as double) AS y", "cast(n as double) AS w"
-        )
-        stage = IsotonicRegression(
-            featuresCol=score, labelCol="y", weightCol="w", predictionCol="calibrated",
-            featureIndex=1,
-        ).fit(points)
-        return PipelineModel([*model.stages, stage])
+        return PipelineModel([*model.stages, fit_isotonic(counts, score)])
+    slicer = VectorSlicer(inputCol=score, outputCol="calibration_input", indices=[1])
+    return PipelineModel([*model.stages, slicer, fit_sigmoid(counts)])
+
+
+def fit_isotonic(counts: DataFrame, score: str) -> IsotonicRegressionModel:
+    """Monotone steps through tied counts (``p``, ``pos``, ``n``), read from ``score``.
+
+    The model holds a point per step; Spark pools the last ones on the driver.
+    """
+    points = counts.selectExpr(
+        f"p AS {score}", "pos / cast(n as double) AS y", "cast(n as double) AS w"
+    )
+    return IsotonicRegression(
+        featuresCol=score, labelCol="y", weightCol="w", predictionCol="calibrated", featureIndex=1
+    ).fit(points)
+
+
+def sigmoid_points(counts: DataFrame) -> DataFrame:
+    """Tied counts as weighted labels with smoothed targets: ``p``, ``y``, ``w``."""
     totals = counts.agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")).first()
     high = (totals["pos"] + 1.0) / (totals["pos"] + 2.0)
     low = 1.0 / (totals["n"] - totals["pos"] + 2.0)
     # Smoothed targets as weights of the two labels.
     hit = f"pos * {high!r}D + (n - pos) * {low!r}D"
     both = f"named_struct('y', 1.0D, 'w', {hit}), named_struct('y', 0.0D, 'w', n - ({hit}))"
-    points = counts.selectExpr("p", f"inline(array({both}))")
-    vector = VectorAssembler(inputCols=["p"], outputCol="calibration_input").transform(points)
-    slicer = VectorSlicer(inputCol=score, outputCol="calibration_input", indices=[1])
-    stage = LogisticRegression(
+    return counts.selectExpr("p", f"inline(array({both}))")
+
+
+def fit_sigmoid(counts: DataFrame) -> LogisticRegressionModel:
+    """A logistic curve through tied counts."""
+    assemble = VectorAssembler(inputCols=["p"], outputCol="calibration_input")
+    return LogisticRegression(
         featuresCol="calibration_input", labelCol="y", weightCol="w", regParam=0.0,
         rawPredictionCol="calibrated_margin", probabilityCol="calibrated_probability",
-        predictionCol="calibrated_label",
-    ).fit(vector)
-    return PipelineModel([*model.stages, slicer, stage])
+        predictionCol="calibrated_label", tol=1e-9, maxIter=1000,
+    ).fit(assemble.transform(sigmoid_points(counts)))
 
 
 def probability(scored: DataFrame, uncalibrated: bool = False):
