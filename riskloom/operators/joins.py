@@ -5,21 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than one row in HOT_SHARE; so there are fewer hot
-# keys than HOT_SHARE, however large the table.
-HOT_SHARE = 256
+from riskloom.session import materialise
 
+# A key is hot when it holds more rows than a task should take. However large the table,
+# a hot key also holds more than one row in MOST_HOT; so there are fewer hot keys than
+# that, and their broadcast has a bound.
+ROWS_PER_TASK = 1_000_000
+MOST_HOT = 65_536
 
-def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> list:
-    """Keys that hold more than 1/share of the rows. Fewer than ``share`` of them exist."""
+
+def hot_keys(
+    df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, most: int = MOST_HOT
+) -> DataFrame | None:
+    """Keys that hold more than ``rows_per_task`` rows and more than 1/most of all rows.
+
+    A stored table of fewer than ``most`` rows, or None if there are none. Nulls meet
+    nothing and are never hot. The table is counted once, and its total is asked for
+    only where a key passes the first bound.
+    """
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    rows = counts.filter(F.col("n") * share > total.scalar()).select(key).collect()
-    return sorted(r[key] for r in rows)
+    large = materialise(counts.filter(F.col("n") > rows_per_task))
+    if large.isEmpty():
+        return None
+    hot = large.filter(F.col("n") * most > F.lit(df.count())).select(key)
+    return None if hot.isEmpty() else hot
 
 
 def join_hot_split(
-    big: DataFrame, unique: DataFrame, key: str, how: str = "inner", share: int = HOT_SHARE
+    big: DataFrame,
+    unique: DataFrame,
+    key: str,
+    how: str = "inner",
+    rows_per_task: int = ROWS_PER_TASK,
+    most: int = MOST_HOT,
 ) -> DataFrame:
     """Join ``big`` to ``unique`` (one row per key) without gathering a hot key.
 
@@ -28,13 +46,14 @@ def join_hot_split(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    hot = hot_keys(big, key, share)
-    if not hot:
+    hot = hot_keys(big, key, rows_per_task, most)
+    if hot is None:
         return big.join(unique, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    few = F.broadcast(unique.filter(F.col(key).isin(hot)))
+    # Fewer than ``most`` keys, and one partner row for each.
+    named = F.broadcast(hot)
+    few = F.broadcast(unique.join(named, key, "left_semi"))
     return (
-        big.filter(is_hot)
+        big.join(named, key, "left_semi")
         .join(few, key, how)
-        .unionByName(big.filter(~is_hot).join(unique, key, how))
+        .unionByName(big.join(named, key, "left_anti").join(unique, key, how))
     )
