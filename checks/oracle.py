@@ -990,3 +990,12 @@ ORACLE["model_scoring"] = sql(
     f"SELECT '20260102T000000Z' AS model_version, {len(FEATURES)} AS inputs, 0.25e0 AS threshold,"
     " count(*) AS scored, count(*) AS probabilities FROM served",
 )
+ORACLE["pipeline_run"] = sql(
+    "feat",
+    f"SELECT flavor, {len(FEATURES)} AS inputs, {_split.format('train', '')} AS train,"
+    f" {_split.format('valid', '')} AS valid, {_split.format('test', '')} AS test,"
+    f" {_split.format('test', '')} AS decided, {_split.format('test', '')} AS calibrated,"
+    f" (SELECT count(DISTINCT sex) FROM feat WHERE split_name = 'test') AS groups,"
+    f" CAST({len(RATIOS)} AS BIGINT) AS ratios, true AS metrics_stored"
+    " FROM (SELECT unnest(['trees', 'network']) AS flavor)",
+)

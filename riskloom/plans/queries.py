@@ -39,7 +39,8 @@ from riskloom.operators.features import (
 )
 from riskloom.plans import train as training
 from riskloom.plans.drift_job import drift_check
-from riskloom.plans.registry import load_model, save_model
+from riskloom.plans.pipeline import run_pipeline
+from riskloom.plans.registry import load_model, read_metadata, save_model
 from riskloom.plans.report import report_tables, write_reports
 from riskloom.session import materialise, new_path
 from riskloom.sources import catalog, landing
@@ -964,6 +965,45 @@ def model_scoring(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def pipeline_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw table to registered models and reports, both flavours, one stated setting each.
+
+    A row per flavour, from the stored metadata and the report tables as read back.
+    """
+    root = new_path(spark, "run")
+    flavors = {
+        "trees": [stated_linear(), training.boosted_candidate(FULL, STATED_BOOSTING)],
+        "network": [training.network_candidate(FULL)],
+    }
+    done = run_pipeline(spark, raw_panel(spark, sf), root, flavors, FULL)
+    cards = None
+    for flavor, version in done.versions.items():
+        row = read_metadata(spark, f"{root}/models", flavor, version)
+        cards = row if cards is None else cards.unionByName(row)
+
+    def stored(path: str, kind: str):
+        return F.get_json_object("document", f"$.{path}").cast(kind)
+
+    out = cards.select(
+        "flavor",
+        F.col("n_features").alias("inputs"),
+        *(stored(f"split_sizes.{s}", "bigint").alias(s) for s in ("train", "valid", "test")),
+        stored("test_metrics.pr_auc", "double").alias("_pr_auc"),
+    )
+    counted = {
+        "models": F.max("pr_auc").alias("_reported"),
+        "confusion": F.sum(F.expr("tn + fp + fn + tp")).cast("bigint").alias("decided"),
+        "calibration": F.sum("n").cast("bigint").alias("calibrated"),
+        "fairness": F.count("*").alias("groups"),
+        "cost_sweep": F.count("*").alias("ratios"),
+    }
+    for name, measure in counted.items():
+        out = out.join(done.reports[name].groupBy("flavor").agg(measure), "flavor", "left")
+    same = (F.abs(F.col("_pr_auc") - F.col("_reported")) < 1e-12).alias("metrics_stored")
+    return out.select("*", same).drop("_pr_auc", "_reported")
+
+
 __all__ = ["QUERIES"]
 
 
