@@ -20,6 +20,8 @@ LEAST = 3
 COVER = 0.5
 #: Placeholders: private characters that no text has in this use.
 NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
+#: Behind a value that still stands behind its placeholder.
+CLOSE = "\ue003"
 #: Units that count as such right behind a number.
 UNITS = (
     "mm cm dm m km in ft yd mi mile miles metre metres meter meters inch inches foot feet "
@@ -31,69 +33,64 @@ UNITS = (
 ).split()
 
 
-def _slots(text: Column) -> Column:
-    """Placeholders in place, word boundaries untouched."""
+def _tagged(text: Column) -> Column:
+    """Lower-case text without punctuation; each value stands behind its placeholder, up to CLOSE.
+
+    Values hold no blanks, so a value is in the word that its placeholder is in.
+    """
     t = F.coalesce(text, F.lit("")).cast("string")
-    t = F.regexp_replace(t, f"[{NUMBER}{NAME}{UNIT}]", " ")
-    t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])[-+]?\p{N}+(?:[.,:/]\p{N}+)*", NUMBER)
+    t = F.regexp_replace(t, f"[{NUMBER}{NAME}{UNIT}{CLOSE}]", " ")
+    t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])[-+]?\p{N}+(?:[.,:/]\p{N}+)*", f"{NUMBER}$0{CLOSE}")
     # A title-case word inside a sentence.
-    return F.regexp_replace(t, rf"(?<=[\p{{L}}{NUMBER},;] )\p{{Lu}}\p{{Ll}}+(?:['’-]\p{{L}}+)*", NAME)
+    t = F.regexp_replace(t, rf"(?<=[\p{{L}}{CLOSE},;] )\p{{Lu}}\p{{Ll}}+(?:['’-]\p{{L}}+)*", f"{NAME}$0{CLOSE}")
+    units = "|".join(sorted((u.replace("$", r"\$") for u in UNITS), key=len, reverse=True))
+    t = F.regexp_replace(F.lower(t), rf"({NUMBER}[^{CLOSE}]*{CLOSE})[ ]?({units})(?![\p{{L}}\p{{N}}])", f"$1 {UNIT}$2{CLOSE}")
+    # Tags stay as they are, punctuation outside them goes.
+    return F.regexp_replace(t, rf"([{NUMBER}{NAME}{UNIT}][^{CLOSE}]*{CLOSE})|[^\p{{L}}\p{{N}}\s{NUMBER}{NAME}{UNIT}]+", "$1")
+
+
+def _bare(tagged: Column) -> Column:
+    return F.regexp_replace(tagged, rf"([{NUMBER}{NAME}{UNIT}])[^{CLOSE}]*{CLOSE}", "$1")
 
 
 def template(text: Column) -> Column:
     """Lower-case text without punctuation, with placeholders."""
-    t = F.lower(_slots(text))
-    names = "|".join(sorted((u.replace("$", r"\$") for u in UNITS), key=len, reverse=True))
-    t = F.regexp_replace(t, rf"{NUMBER}[ ]?(?:{names})(?![\p{{L}}\p{{N}}])", f"{NUMBER} {UNIT}")
-    return F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}\s{NUMBER}{NAME}{UNIT}]+", "")
+    return _bare(_tagged(text))
 
 
-def template_words(text: Column) -> Column:
-    return F.filter(F.split(template(text), r"\s+"), lambda w: w != "")
+def _words(text: Column) -> Column:
+    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
 
 
-def slot_values(text: Column) -> Column:
-    """The values behind the placeholders, in order, as written (lower case)."""
-    t = F.coalesce(text, F.lit("")).cast("string")
-    t = F.regexp_replace(t, f"[{NUMBER}{NAME}{UNIT}]", " ")
-    number = r"(?<![\p{L}\p{N}])[-+]?\p{N}+(?:[.,:/]\p{N}+)*"
-    units = "|".join(sorted((u.replace("$", r"\$") for u in UNITS), key=len, reverse=True))
-    unit = rf"(?<=\p{{N}}|\p{{N}} )(?i:{units})(?![\p{{L}}\p{{N}}])"
-    # The word before a name may itself have been a number.
-    name = r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}+(?:['’-]\p{L}+)*"
-    return F.transform(F.regexp_extract_all(t, F.lit(f"({number}|{unit}|{name})"), F.lit(1)), F.lower)
+def template_words(text: Column) -> Column:
+    return _words(template(text))
 
 
 def windows(rows: DataFrame, keys: list[str], text: str, lengths: list[int]) -> DataFrame:
     """One row per window of each length: keys, words, hash, pos, slots.
 
-    ``slots`` holds the values behind the window's placeholders, or null if it has none.
+    ``slots`` holds the values behind the window's placeholders, those glued to letters or to
+    each other too, or null if the text has none.
     """
-    words, marks = F.col("_words"), [NUMBER, NAME, UNIT]
-    base = rows.select(*keys, F.col(text).alias("_text"), template(F.col(text)).alias("_template"))
+    words = F.col("_words")
+    base = rows.select(*keys, _tagged(F.col(text)).alias("_tagged"))
     # Only texts with a placeholder are searched for the values behind them.
-    some = F.contains("_template", F.lit(NUMBER)) | F.contains("_template", F.lit(NAME))
-    values = F.when(some, slot_values(F.col("_text"))).otherwise(F.array().cast("array<string>"))
-    base = base.select(*keys, F.filter(F.split("_template", r"\s+"), lambda w: w != "").alias("_words"), values.alias("_values"))
+    some, nothing = F.contains("_tagged", F.lit(CLOSE)), F.array().cast("array<string>")
 
-    def is_slot(w: Column) -> Column:
-        return w.isin(marks)
+    def values(w: Column) -> Column:
+        found = F.regexp_extract_all(w, F.lit(f"[{NUMBER}{NAME}{UNIT}]([^{CLOSE}]*){CLOSE}"), F.lit(1))
+        return F.when(F.contains(w, F.lit(CLOSE)), found).otherwise(nothing)
 
-    # places[k]: word position of the k-th placeholder; texts without any have none.
-    places = F.when(F.size("_values") == 0, F.array().cast("array<int>")).otherwise(
-        F.filter(F.transform(words, lambda w, i: F.when(is_slot(w), i)), lambda i: i.isNotNull())
-    )
-    base = base.select(*keys, "_words", "_values", places.alias("_places"), F.size("_words").alias("words"))
+    # _values[k]: the values in the k-th word; bare and tagged text split at the same blanks.
+    base = base.select(
+        *keys, _words(F.when(some, _bare(F.col("_tagged"))).otherwise(F.col("_tagged"))).alias("_words"),
+        F.when(some, F.transform(_words(F.col("_tagged")), values)).alias("_values"),
+    )
+    base = base.select(*keys, "_words", "_values", F.size("_words").alias("words"))
 
     def cut(length: int) -> Column:
         def one(p: Column) -> Column:
-            here = F.when(
-                F.size("_places") > 0,
-                F.filter(
-                    F.transform(F.col("_places"), lambda q, k: F.when((q >= p) & (q < p + length), F.get(F.col("_values"), k))),
-                    lambda v: v.isNotNull(),
-                ),
-            )
+            here = F.when(F.col("_values").isNotNull(), F.flatten(F.slice("_values", p + 1, length)))
             return F.struct(F.xxhash64(F.slice(words, p + 1, length)).alias("hash"), p.alias("pos"), F.lit(length).alias("length"), here.alias("slots"))
 
         return F.when(F.size(words) >= length, F.transform(F.sequence(F.lit(0), F.size(words) - length), one))
@@ -129,34 +126,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
 
     Windows meet by hash; Spark broadcasts the benchmark's if their size allows and
     shuffles both sides if not. At one shift between text and item, each slot value of the
-    item must stand for one value in the text and the other way round; shifts that break
-    this do not count. ``cover`` is the share of the item's words that lie in a window found.
+    item must stand for one value in the text and the other way round; of shifts that break
+    this only windows without any slot count. ``cover`` is the share of the item's words that lie in a window found.
     """
+    none = F.array().cast("array<string>")
     marks = benchmark_windows(benchmark, window).select(
         "item_id", F.col("words").alias("item_words"), F.col("hash").alias("_hash"), F.col("pos").alias("item_pos"),
         "length", F.col("slots").alias("item_slots"),
     )
     lengths = [r["length"] for r in marks.select("length").distinct().collect()] or [window]
     ours = windows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ["doc_id"], "text", sorted(lengths))
+    # Equal templates have equally many values; a window that does not met by chance.
     met = ours.join(marks, (ours["hash"] == marks["_hash"]) & (ours["length"] == marks["length"])).select(
         "doc_id", "item_id", "item_words", "item_pos", marks["length"], (F.col("pos") - F.col("item_pos")).alias("shift"),
-        F.when(F.size("slots") == F.size("item_slots"), F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))).alias("pairs"),
-        (F.coalesce(F.size("slots"), F.lit(0)) == F.coalesce(F.size("item_slots"), F.lit(0))).alias("even"),
-    )
+        F.coalesce("slots", none).alias("slots"), F.coalesce("item_slots", none).alias("item_slots"),
+    ).where(F.size("slots") == F.size("item_slots"))
+    pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
     # An item's windows at one shift are few: the sets are bounded by the item's length.
-    nothing = F.array().cast("array<struct<i:string,d:string>>")
     shifts = met.groupBy("doc_id", "item_id", "shift").agg(
         F.first("item_words").alias("item_words"),
-        F.collect_set(F.struct("item_pos", "length")).alias("at"),
-        F.array_distinct(F.flatten(F.collect_set(F.coalesce("pairs", nothing)))).alias("pairs"),
-        F.min("even").alias("even"),
+        F.collect_set(F.struct("item_pos", "length", (F.size("slots") == 0).alias("plain"))).alias("at"),
+        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
     )
     one_to_one = (F.size(F.array_distinct(F.col("pairs.i"))) == F.size("pairs")) & (
         F.size(F.array_distinct(F.col("pairs.d"))) == F.size("pairs")
     )
-    changed = F.exists("pairs", lambda p: ~p["i"].eqNullSafe(p["d"]))
+    changed = F.col("fits") & F.exists("pairs", lambda p: ~p["i"].eqNullSafe(p["d"]))
+    # Windows without a slot are the item's own words, whatever the values elsewhere.
+    shifts = shifts.withColumn("fits", one_to_one).withColumn("at", F.filter("at", lambda a: F.col("fits") | a["plain"]))
     covered = F.flatten(F.transform("at", lambda a: F.sequence(a["item_pos"], a["item_pos"] + a["length"] - 1)))
-    good = shifts.where(one_to_one & F.col("even")).select(
+    good = shifts.select(
         "doc_id", "item_id", "item_words", F.array_distinct(covered).alias("covered"), changed.alias("changed")
     )
     # Distinct words of the item over all shifts: a passage with words put in still counts.

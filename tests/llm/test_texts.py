@@ -144,6 +144,30 @@ def test_changed_questions_are_found_if_their_values_are_consistent(spark):
     assert not got[0]["reparameterised"] and got[1]["reparameterised"]
 
 
+def test_glued_values_do_not_shift_the_others(spark):
+    item = "so there he told us that Anna had bought 2 old books and 7 pens before Anna gave 2 of them to Bert and kept 7 for the long way home"
+    other = item.replace("Anna", "Olga").replace("2", "5")
+    before = ["In the 19th year. ", "A 10-year-old said. ", "After covid-19 came. ", "Pages 5-10 say. ", "On my YouTube. ", "The G20 in town. ", "Pay 40\u20ac-50 or 3rd, 4th and 5th. "]
+    texts = [b + item for b in before] + [b + other for b in before]
+    got = found(spark, texts, ((1, item),))
+    assert [got[i]["best_cover"] for i in range(len(texts))] == [1.0] * len(texts)
+    assert [got[i]["reparameterised"] for i in range(len(texts))] == [False] * len(before) + [True] * len(before)
+
+
+def test_glued_values_must_map_one_to_one(spark):
+    item = "in the 19th year they sold it and in the 19th year they got it"
+    texts = [item.replace("19th", "20th"), item.replace("19th", "20th", 1)]
+    got = found(spark, texts, ((1, item),))
+    assert [got[i]["contaminated"] for i in range(2)] == [True, False]
+
+
+def test_windows_without_slots_count_beside_inconsistent_values(spark):
+    plain = "so we went down the old road to the mill and saw that no one was there at all"
+    item = plain + " but 4 of us and 4 of them"
+    got = found(spark, [item.replace("4 of them", "5 of them"), "we saw 4 of us and 5 of them"], ((1, item),))
+    assert got[0]["contaminated"] and not got[0]["reparameterised"] and not got[1]["contaminated"]
+
+
 def test_given_benchmark_passages_are_found_and_nothing_else(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
