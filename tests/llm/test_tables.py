@@ -14,6 +14,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from checks.compare import TABLES, difference
 from riskloom.llm import mixing, registry, sharding, toolcalls, topk, warc
+from riskloom.operators import joins
 from tests.conftest import SF
 from tests.llm.test_models import frame
 
@@ -115,6 +116,29 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
     assert toolcalls.link_calls(calls.where("false"), results.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("most", [joins.ROWS_PER_TASK, 2])
+def test_calls_and_results_that_share_an_id_all_stay(spark, monkeypatch, most):
+    monkeypatch.setattr(joins.join_hot_split, "__defaults__", ("inner", most, joins.MOST_HOT))
+    texts = ['{"turn":1,"text":"p"}', '{"turn":2,"text":""}', "{bad", None, '{"turn":1,"text":"p"}']
+    calls = spark.createDataFrame([(1, "a", None, "reply", t, 0) for t in texts] + [(1, "b", None, "reply", texts[0], 0)], CALL)
+    results = spark.createDataFrame([(1, i, c) for i in "abq" for c in ("u", "v", "v", None)], "conv_id long, id string, content string")
+    rows = defaultdict(list)
+    for r in toolcalls.link_calls(calls, results).collect():
+        rows[r["id"]].append((r["status"], r["n_calls"], r["n_results"], r["copies"], r["valid"], json.loads(r["message"]).get("result", "-")))
+    key = lambda x: [str(v) for v in x]
+    answers = [(1, "u"), (2, "v"), (1, None)]
+    asked = [("repeated", 5, 4, 2, True, "-")] + [("repeated", 5, 4, 1, False, "-")] * 3
+    assert sorted(rows["a"], key=key) == sorted(asked + [("repeated", 5, 4, n, None, c) for n, c in answers], key=key)
+    assert sorted(rows["b"], key=key) == sorted([("ambiguous", 1, 4, n, True, c) for n, c in answers], key=key)
+    assert sorted(rows["q"], key=key) == sorted([("orphan", 0, 4, n, None, c) for n, c in answers], key=key)
+
+
+def test_depth_follows_every_parent(spark):
+    pairs = [("a", None), ("b", "a"), ("c", "b"), ("d", "a"), ("d", "c"), ("e", "d"), ("f", "e"), ("f", "b"), ("f", None), ("g", "f"), ("x", "y"), ("y", "x"), ("z", "x"), ("z", "a"), ("w", "z"), ("s", "s")]
+    got = {r["id"]: r["depth"] for r in toolcalls.depths(spark.createDataFrame(pairs, "id string, parent string")).collect()}
+    assert got == {"a": 0, "b": 1, "c": 2, "d": 3, "e": 4, "f": 5, "g": 6, "x": None, "y": None, "z": None, "w": None, "s": None}
+
+
 def test_long_chains_are_ordered(spark):
     nodes = spark.range(300).selectExpr("cast(id AS string) AS id", "cast(id - 1 AS string) AS parent")
     assert all(int(r["id"]) == r["depth"] for r in toolcalls.depths(nodes).collect())
