@@ -148,58 +148,130 @@ def _parse(data: bytes, at: int) -> tuple[dict, bytes, int] | str:
     return head, block, end + 4
 
 
-def _inflate(data: bytes, at: int) -> tuple[bytes, int] | str:
-    """The gzip member at ``at`` and its end, fed in small pieces so that no rest is copied."""
+def _feed(engine, piece: bytes, step: int, out: list[bytes]) -> None:
+    """Add to ``out`` all that ``piece`` yields before its damage, in ever smaller steps."""
+    for low in range(0, len(piece), step):
+        spare, part = engine.copy(), piece[low : low + step]
+        try:
+            out.append(engine.decompress(part))
+        except zlib.error:
+            if step > 1:
+                return _feed(spare, part, step // 64, out)
+            try:
+                while got := spare.decompress(part, 1):
+                    out.append(got)
+                    part = spare.unconsumed_tail
+            except zlib.error:
+                return None
+
+
+def _inflate(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """The gzip member at ``at``: its bytes up to its end or damage, where that is, and what is
+    wrong. It is fed in small pieces so that no rest is copied."""
     engine, out, pos = zlib.decompressobj(31), [], at
-    try:
-        while not engine.eof:
-            piece = data[pos : pos + 65536]
-            if not piece:
-                return "member without end"
+    while not engine.eof:
+        piece = data[pos : pos + 65536]
+        if not piece:
+            return b"".join(out), pos, "member without end"
+        try:
             out.append(engine.decompress(piece))
-            pos += len(piece)
-    except zlib.error:
-        return "broken member"
-    return b"".join(out), pos - len(engine.unused_data)
+        except zlib.error:
+            # The bytes of the piece before the damage: once more from the start.
+            engine = zlib.decompressobj(31)
+            for low in range(at, pos, 65536):
+                engine.decompress(data[low : low + 65536])
+            _feed(engine, piece, 4096, out)
+            return b"".join(out), pos, "broken member"
+        pos += len(piece)
+    return b"".join(out), pos - len(engine.unused_data), ""
+
+
+def _used(data: bytes, at: int, size: int) -> int:
+    """How many bytes of the member at ``at`` yield its first ``size`` bytes."""
+    engine, made, pos, step = zlib.decompressobj(31), 0, at, 4096
+    while made < size:
+        spare = engine.copy()
+        try:
+            got = engine.decompress(data[pos : pos + step])
+        except zlib.error:
+            got = None
+        if step > 1 and (got is None or made + len(got) >= size):
+            engine, step = spare, 1
+            continue
+        if got is None:
+            return pos + 1 - at
+        made, pos = made + len(got), pos + step
+    return pos - at
+
+
+def _inside(inner: bytes, broken: bool) -> tuple[list[tuple], list[tuple], int]:
+    """Records in a member's bytes, gaps (offset, length, reason), and the end of the last record.
+
+    Where the compressed bytes are ``broken`` only a digest shows that a record is whole.
+    """
+    found, gaps, at, bad, reason, last = [], [], 0, None, "", 0
+    while at < len(inner):
+        if bad is None and inner[at] in b"\0\r\n":
+            at += 1
+            continue
+        one = _parse(inner, at)
+        if not isinstance(one, str) and broken and not one[0].get("warc-block-digest", "").startswith("sha256:"):
+            one = "no digest in a broken member"
+        if isinstance(one, str):
+            if bad is None:
+                bad, reason = at, one
+            nxt = VERSION.search(inner, at + 1)
+            at = nxt.start() if nxt else len(inner)
+            continue
+        if bad is not None:
+            gaps.append((bad, at - bad, reason))
+            bad = None
+        found.append(one[:2])
+        at = last = one[2]
+    if bad is not None:
+        gaps.append((bad, len(inner) - bad, reason))
+    return found, gaps, last
 
 
 def salvage(data: bytes) -> Iterator[tuple]:
     """Records and gaps of an archive: ("record", offset, length, head, block) or
-    ("gap", offset, length, reason, None).
+    ("gap", offset, length, reason, None), and for a gap between the records of a member
+    ("gap", offset, length, reason, None, inner offset, inner length).
 
     Plain records and gzip members may be mixed. Where a check fails, the search goes on at
-    the next member magic or version line behind; every byte that no valid record covers is
-    in exactly one gap. Line ends and zero padding between records are no gap.
+    the next member magic or version line behind, inside a member at the next version line of its
+    bytes. Every byte of the archive that no valid record's member covers is in exactly one
+    gap without inner offset. Line ends and zero padding between records are no gap.
+
+    A member that is damaged or cut off yields the valid records before the damage and ends
+    with the last of them. One with nothing but a single record up to the damage is a gap.
     """
     pos, bad, reason, size = 0, None, "", len(data)
     while pos < size:
         if bad is None and data[pos] in b"\0\r\n":
             pos += 1
             continue
-        found: list[tuple] | str
+        found, inner_gaps, wrong, cut = [], [], "", False
         if data.startswith(GZIP, pos):
-            got = _inflate(data, pos)
-            if isinstance(got, str):
-                found = got
-            else:
-                found, inner, at = [], got[0], 0
-                while at < len(inner):
-                    one = _parse(inner, at)
-                    if isinstance(one, str):
-                        found = one
-                        break
-                    found.append(one[:2])
-                    at = one[2]
-                end = got[1]
+            inner, end, wrong = _inflate(data, pos)
+            found, inner_gaps, last = _inside(inner, wrong == "broken member")
+            cut = wrong != ""
+            if cut:
+                if len(found) == 1 and not inner_gaps and last == len(inner):
+                    found = []
+                inner_gaps = [g for g in inner_gaps if g[0] < last]
+                end = pos + _used(data, pos, last) if found else pos
+            elif not found and inner_gaps:
+                wrong = inner_gaps[0][2]
         else:
             one = _parse(data, pos)
             if isinstance(one, str):
-                found = one
+                wrong = one
             else:
                 found, end = [one[:2]], one[2]
-        if isinstance(found, str):
+        if wrong and not found:
             if bad is None:
-                bad, reason = pos, found
+                bad, reason = pos, wrong
             nxt = NEXT.search(data, pos + 1)
             pos = nxt.start() if nxt else size
             continue
@@ -208,14 +280,21 @@ def salvage(data: bytes) -> Iterator[tuple]:
             bad = None
         for head, block in found:
             yield "record", pos, end - pos, head, block
+        for at, length, why in inner_gaps:
+            yield "gap", pos, end - pos, why, None, at, length
         pos = end
+        if cut:
+            bad, reason = pos, wrong
+            nxt = NEXT.search(data, pos)
+            pos = nxt.start() if nxt else size
     if bad is not None:
         yield "gap", bad, size - bad, reason, None
 
 
 READ_SCHEMA = (
     "archive string, kind string, offset long, length long, reason string, page_id long, url string, "
-    "payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
+    "payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary, "
+    "inner_offset long, inner_length long"
 )
 
 
@@ -225,10 +304,10 @@ def _id(text: str | None) -> int | None:
 
 
 def _row(path: str, item: tuple, keep: bool) -> dict:
-    kind, offset, length, head, block = item
+    kind, offset, length, head, block, *inner = item
     row = {"archive": path, "kind": kind, "offset": offset, "length": length}
     if kind == "gap":
-        return row | {"reason": head}
+        return row | {"reason": head} | dict(zip(("inner_offset", "inner_length"), inner))
     payload = block.partition(b"\r\n\r\n")[2]
     kind_of = head.get("warc-type")
     full = kind_of != "revisit"
@@ -251,10 +330,11 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
     """Records and quarantined gaps of all archives below ``path``, one row each.
 
     ``kind`` is record or gap; a gap has offset, length and the reason of the first failed
-    check. Offsets count bytes of the file; records of one member share them. An archive is
+    check. Offsets count bytes of the file; records of one member share them, and so do gaps
+    between them, which have inner_offset and inner_length in the member's bytes. An archive is
     one value in memory: the writer closes archives at 8 MB.
     """
-    schema = pa.schema([("archive", pa.string()), ("kind", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("reason", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
+    schema = pa.schema([("archive", pa.string()), ("kind", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("reason", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary()), ("inner_offset", pa.int64()), ("inner_length", pa.int64())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -80,6 +80,34 @@ def test_salvage_recovers_what_follows_damage():
     assert records(b"") == ([], []) and records(b"no archive")[1][0][1:3] == (0, 10)
 
 
+def test_salvage_keeps_the_good_records_of_a_damaged_member(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    plain = [warc.record("response", i, None, "d", 3, rng.integers(0, 64, 3000, np.uint8).tobytes().hex().encode()) for i in range(60)]
+    bad = bytearray(plain[20])
+    bad[-9] ^= 1
+    rotten = warc.member(b"".join([*plain[:20], bytes(bad), *plain[21:]]))
+    whole, after = warc.member(b"".join(plain)), warc.member(plain[0])
+    ids = lambda rows: [warc._id(r[3]["warc-record-id"]) for r in rows]
+    good, gaps = records(b"junk" + rotten + after)
+    start = sum(map(len, plain[:20]))
+    assert ids(good) == [i for i in range(60) if i != 20] + [0]
+    assert [g[1:4] for g in gaps] == [(0, 4, "no version line"), (4, len(rotten), "block digest differs")] and gaps[1][5:] == (start, len(bad))
+    cut = whole[: len(whole) // 2]
+    good, gaps = records(cut)
+    assert ids(good) == list(range(len(good))) and 25 < len(good) < 35
+    assert len(gaps) == 1 and gaps[0][1] == good[0][2] and gaps[0][1] + gaps[0][2] == len(cut)
+    flipped = bytearray(whole)
+    flipped[len(whole) // 2 : len(whole) // 2 + 40] = b"\xff" * 40
+    good, gaps = records(bytes(flipped) + after)
+    assert ids(good)[:25] == list(range(25)) and ids(good)[-1] == 0 and "broken member" in [g[3] for g in gaps]
+    trailer = bytearray(whole)
+    trailer[-6] ^= 1
+    assert ids(records(bytes(trailer))[0]) == list(range(60))
+    (tmp_path / "one.warc.gz").write_bytes(rotten)
+    out = warc.read_warc(spark, str(tmp_path)).collect()
+    assert [(r["inner_offset"], r["inner_length"]) for r in out if r["kind"] == "gap"] == [(start, len(bad))] and len(out) == 60
+
+
 def test_warc_round_trip_with_nulls_copies_and_long_pages(spark, tmp_path):
     page, long = "<p>é</p>" * 20, "x" * 3_000_000
     rows = [(5, "http://a/\r\nb", page), (3, None, page), (9, "u", page), (4, "u", None), (6, "u", ""), (7, "u", "short"), (8, "u", "short"), (None, "u", page), (10, "u", long), (3, "u", page)]
