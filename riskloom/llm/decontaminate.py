@@ -121,8 +121,29 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return stored(cuts.where((F.col("length") == window) | (F.col("words") == F.col("length"))), "item-windows")
 
 
+#: What tells documents apart: equal ids with equal texts are judged alike.
+KEY = ["doc_id", "_code", "_hash"]
+
+
+def _key(doc_id: Column, text: Column) -> list[Column]:
+    return [doc_id.cast("long").alias("doc_id"), F.hash(text).alias("_code"), F.xxhash64(text).alias("_hash")]
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(*_key(F.col("doc_id"), F.col("text")), "text")
+
+
+def _same(rows: DataFrame, found: DataFrame) -> tuple[DataFrame, Column]:
+    """``found`` under other names, and the condition that its document is that of ``rows``."""
+    found = found.withColumnsRenamed({k: f"_found{k}" for k in KEY})
+    return found, (rows["_hash"] == found["_found_hash"]) & (rows["_code"] == found["_found_code"]) & rows["doc_id"].eqNullSafe(found["_founddoc_id"])
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: float = COVER) -> DataFrame:
-    """One row per document id and item found in it: doc_id, item_id, cover, reparameterised.
+    """One row per document and item found in it: doc_id, _code, _hash, item_id, cover, reparameterised.
+
+    A document is an id and a text (by two hashes of it), so rows that share an id, null ids
+    too, are judged each by its own text.
 
     Windows meet by hash; Spark broadcasts the benchmark's if their size allows and
     shuffles both sides if not. At one shift between text and item, each slot value of the
@@ -131,19 +152,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     """
     none = F.array().cast("array<string>")
     marks = benchmark_windows(benchmark, window).select(
-        "item_id", F.col("words").alias("item_words"), F.col("hash").alias("_hash"), F.col("pos").alias("item_pos"),
+        "item_id", F.col("words").alias("item_words"), F.col("hash").alias("item_hash"), F.col("pos").alias("item_pos"),
         "length", F.col("slots").alias("item_slots"),
     )
     lengths = [r["length"] for r in marks.select("length").distinct().collect()] or [window]
-    ours = windows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ["doc_id"], "text", sorted(lengths))
+    ours = windows(_keyed(docs).select(*KEY, "text"), KEY, "text", sorted(lengths))
     # Equal templates have equally many values; a window that does not met by chance.
-    met = ours.join(marks, (ours["hash"] == marks["_hash"]) & (ours["length"] == marks["length"])).select(
-        "doc_id", "item_id", "item_words", "item_pos", marks["length"], (F.col("pos") - F.col("item_pos")).alias("shift"),
+    met = ours.join(marks, (ours["hash"] == marks["item_hash"]) & (ours["length"] == marks["length"])).select(
+        *KEY, "item_id", "item_words", "item_pos", marks["length"], (F.col("pos") - F.col("item_pos")).alias("shift"),
         F.coalesce("slots", none).alias("slots"), F.coalesce("item_slots", none).alias("item_slots"),
     ).where(F.size("slots") == F.size("item_slots"))
     pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
     # An item's windows at one shift are few: the sets are bounded by the item's length.
-    shifts = met.groupBy("doc_id", "item_id", "shift").agg(
+    shifts = met.groupBy(*KEY, "item_id", "shift").agg(
         F.first("item_words").alias("item_words"),
         F.collect_set(F.struct("item_pos", "length", (F.size("slots") == 0).alias("plain"))).alias("at"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
@@ -156,40 +177,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     shifts = shifts.withColumn("fits", one_to_one).withColumn("at", F.filter("at", lambda a: F.col("fits") | a["plain"]))
     covered = F.flatten(F.transform("at", lambda a: F.sequence(a["item_pos"], a["item_pos"] + a["length"] - 1)))
     good = shifts.select(
-        "doc_id", "item_id", "item_words", F.array_distinct(covered).alias("covered"), changed.alias("changed")
+        *KEY, "item_id", "item_words", F.array_distinct(covered).alias("covered"), changed.alias("changed")
     )
     # Distinct words of the item over all shifts: a passage with words put in still counts.
-    per_word = good.select("doc_id", "item_id", "item_words", "changed", F.explode("covered").alias("word"))
+    per_word = good.select(*KEY, "item_id", "item_words", "changed", F.explode("covered").alias("word"))
     return (
-        per_word.groupBy("doc_id", "item_id", "item_words", "word").agg(F.min("changed").alias("changed"))
-        .groupBy("doc_id", "item_id", "item_words")
+        per_word.groupBy(*KEY, "item_id", "item_words", "word").agg(F.min("changed").alias("changed"))
+        .groupBy(*KEY, "item_id", "item_words")
         .agg(F.count(F.lit(1)).alias("_n"), F.max("changed").alias("reparameterised"))
         .withColumn("cover", F.col("_n") / F.col("item_words"))
         .where(F.col("cover") >= cover)
-        .select("doc_id", "item_id", "cover", "reparameterised")
+        .select(*KEY, "item_id", "cover", "reparameterised")
     )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: float = COVER) -> DataFrame:
     """One row per document: doc_id, contaminated, n_items, first_item, best_cover, reparameterised.
 
-    A null or empty text holds no item. Rows that share an id are judged together, null ids
-    too. An empty benchmark leaves all documents clean; an empty table of documents gives
+    A null or empty text holds no item. Rows that share an id, null ids too, are judged each
+    by its own text. An empty benchmark leaves all documents clean; an empty table of documents gives
     an empty result. Other columns are not looked at.
     """
     found = (
         contaminated(docs, benchmark, window, cover)
-        .groupBy("doc_id")
+        .groupBy(*KEY)
         .agg(
             F.count(F.lit(1)).alias("_items"),
             F.min("item_id").alias("first_item"),
             F.max("cover").alias("best_cover"),
             F.max("reparameterised").alias("_changed"),
         )
-        .withColumnRenamed("doc_id", "_id")
     )
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    return rows.join(found, rows["doc_id"].eqNullSafe(found["_id"]), "left").select(
+    rows = _keyed(docs).select(*KEY)
+    return rows.join(*_same(rows, found), "left").select(
         "doc_id",
         F.col("_items").isNotNull().alias("contaminated"),
         F.coalesce("_items", F.lit(0)).alias("n_items"),
@@ -200,9 +220,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, c
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item, all columns kept."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"]), "left_anti")
+    """The documents that hold no benchmark item, all columns kept; each row by its own text."""
+    bad = contaminated(docs, benchmark).select(*KEY).distinct()
+    names = [f"_{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*names).select("*", *_key(F.col(names[docs.columns.index("doc_id")]), F.col(names[docs.columns.index("text")])))
+    return rows.join(*_same(rows, bad), "left_anti").select(*names).toDF(*docs.columns)
 
 
 def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

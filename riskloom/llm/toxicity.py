@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from riskloom.llm.base import stored, table
 
@@ -303,10 +304,15 @@ def score_texts(docs: DataFrame, model: tuple[np.ndarray, float, float, float])
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic, all columns kept."""
+    """The documents that are not predicted toxic, all columns kept; each row by its own text,
+    whatever its id."""
     model = train(docs, labels)
-    bad = score_texts(docs, model).where("predicted = 1").select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"]), "left_anti")
+    # Names that cannot meet those of the score.
+    names = ["text" if c == "text" else f"_{i}" for i, c in enumerate(docs.columns)]
+    rows = docs.toDF(*names)
+    schema = StructType([*rows.schema, StructField("margin", DoubleType()), StructField("score", DoubleType())])
+    scored = rows.mapInArrow(_worst(*model, names), schema)
+    return scored.where("NOT score >= 0.5").select(*names).toDF(*docs.columns)
 
 
 def op7_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,10 +13,10 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from checks.compare import TABLES, difference
-from riskloom.llm import mixing, registry, sharding, toolcalls, topk, warc
+from riskloom.llm import decontaminate, mixing, registry, sharding, toolcalls, topk, toxicity, warc
 from riskloom.operators import joins
 from tests.conftest import SF
-from tests.llm.test_models import frame
+from tests.llm.test_models import frame, planted
 
 
 @pytest.fixture(scope="module")
@@ -283,3 +283,23 @@ def test_pipeline_stages_take_effect(spark):
     for _, stage in corpus_pipeline.STAGES:
         none = stage(spark, none, SF)
         assert none.count() == 0
+
+
+def test_rows_with_one_id_or_none_are_dropped_alone(spark):
+    docs, labels = planted(spark)
+    texts = ["ba be bi", "ba wretchx bo vermink", "so we say one two three today", "", None]
+    rows = docs + [(i, t) for t in texts for i in (None, None, 9000)]
+    bench = spark.createDataFrame([(5, "one two three")], "item_id long, text string")
+    key = lambda r: (str(r[0]), str(r[1]))
+    left = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.where("doc_id IS NULL OR doc_id = 9000").collect()), key=key)
+    want = lambda drop: sorted(((i, t) for i, t in rows[len(docs) :] if t != texts[drop]), key=key)
+    given = frame(spark, rows)
+    quiet = toxicity.clean_documents(given, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert left(quiet) == want(1) and quiet.columns == given.columns and quiet.schema.simpleString() == given.schema.simpleString()
+    clean = decontaminate.clean_documents(given, bench)
+    assert left(clean) == want(2) and clean.columns == given.columns
+    flagged = decontaminate.decontaminate(given, bench).where("contaminated").collect()
+    assert sorted(str(r["doc_id"]) for r in flagged) == ["9000", "None", "None"]
+    halves = frame(spark, [(None, "say one two three four"), (None, "then five six seven eight")])
+    long = spark.createDataFrame([(6, "one two three four five six seven eight")], "item_id long, text string")
+    assert not decontaminate.decontaminate(halves, long).where("contaminated").count()
