@@ -26,8 +26,11 @@ ORDERS, SPAN, DECAY = (3, 4), 6, 0.5
 #: Character classes, table of feature weights, and marks for start, end and padding.
 SIGMA, TABLE = 64, 1 << 20
 START, END, PAD = 0, 61, 63
-#: Labelled rows sampled per label; words of either kind to fit on; landmarks of either kind.
+#: Labelled rows sampled per label; words of either kind to fit on; landmarks of either kind
+#: to begin with.
 SAMPLE, POSITIVES, NEGATIVES, LANDMARKS = 10_000, 2_000, 6_000, 160
+#: More positive words become landmarks until none has more of its squared length outside.
+REST = 0.5
 #: Longer words are read in pieces that overlap by SPAN characters.
 PIECE = 64
 FOLDS, HELD_OUT = 5, 0
@@ -116,6 +119,8 @@ def word_scores(words: list[str], weights: np.ndarray, bias: float) -> np.ndarra
 
 def _kernel(words: list[str], marks: list[str]) -> np.ndarray:
     """Normalised kernel of words (rows) and landmarks, over the landmarks' subsequences."""
+    if len(marks) > 2 * LANDMARKS:  # A block of landmarks needs their own subsequences only.
+        return np.hstack([_kernel(words, marks[i : i + 2 * LANDMARKS]) for i in range(0, len(marks), 2 * LANDMARKS)])
     slots = np.unique(np.concatenate([slot for _, slot, _ in features(marks)]))
 
     def dense(part: list[str]) -> np.ndarray:
@@ -130,9 +135,29 @@ def _kernel(words: list[str], marks: list[str]) -> np.ndarray:
     return np.concatenate([dense(words[i : i + 256]) @ z.T for i in range(0, len(words), 256)]).astype(np.float64)
 
 
+def covering(words: list[str], first: int, rest: float = REST) -> list[str]:
+    """The ``first`` words, and by pivoted Cholesky as many others as it takes until the
+    landmarks leave no word more than ``rest`` of its squared length."""
+    if len(words) <= first:
+        return words
+    kernel = _kernel(words, words)
+    left, rows, chosen = np.ones(len(words)), np.zeros((len(words), len(words))), []
+    while len(chosen) < len(words):
+        i = len(chosen) if len(chosen) < first else int(np.argmax(left))
+        if len(chosen) >= first and left[i] <= rest:
+            break
+        n = len(chosen)
+        if left[i] > 1e-6:
+            rows[n] = (kernel[i] - rows[:n, i] @ rows[:n]) / np.sqrt(left[i])
+            left = left - rows[n] ** 2
+        left[i] = 0.0
+        chosen.append(i)
+    return [words[i] for i in chosen]
+
+
 def fit_machine(positive: list[str], negative: list[str], landmarks: int = LANDMARKS, ridge: float = 1.0) -> tuple[np.ndarray, float]:
     """Squared-hinge machine on Nyström features, folded into a weight per table slot."""
-    marks = positive[:landmarks] + negative[:landmarks]
+    marks = covering(positive, landmarks) + negative[:landmarks]
     base = _kernel(marks, marks)
     values, vectors = np.linalg.eigh((base + base.T) / 2)
     keep = values > 1e-6 * values.max()

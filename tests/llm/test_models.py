@@ -86,6 +86,20 @@ def test_kernel_keeps_similarity_under_gaps():
     assert math.isclose(k[0], 1, rel_tol=1e-5) and k[1] > 0.25 and k[2] > 0.25 and k[3] < 0.05
 
 
+def test_a_rare_insult_is_told_behind_many_forms_of_another():
+    rng = np.random.default_rng(6)
+    letters = list("abcdefgilmnoprstu")
+    forms = sorted({"wretch" + "".join(rng.choice(letters, 3)) for _ in range(260)})[:240]
+    plain = sorted({"".join(rng.choice(list("bcdfglmnprst")) + rng.choice(list("aeiou")) for _ in range(rng.integers(1, 4))) for _ in range(600)})
+    rare = ["zubqokh", "jyxvak"]
+    assert len(forms) > toxicity.LANDMARKS
+    weights, bias = toxicity.fit_machine(forms + rare, plain)
+    assert (toxicity.word_scores(rare + forms, weights, bias) > 0).all() and (toxicity.word_scores(plain, weights, bias) < 0).all()
+    marks = toxicity.covering(forms + rare, toxicity.LANDMARKS)
+    assert marks[: toxicity.LANDMARKS] == forms[: toxicity.LANDMARKS] and set(rare) <= set(marks)
+    assert toxicity.covering(rare, toxicity.LANDMARKS) == rare
+
+
 def planted(spark, n=240):
     rng = np.random.default_rng(1)
     plain = ["".join(rng.choice(list("bcdfglmnprst")) + rng.choice(list("aeiou")) for _ in range(rng.integers(1, 4))) for _ in range(300)]
