@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, brown, decontaminate, jaccard, mixing, repeats, sharding, toolcalls, topk, toxicity, warc
+from riskloom.llm import bpe, brown, decontaminate, jaccard, mixing, periods, repeats, sharding, toolcalls, topk, toxicity, warc
 
 QUERIES = {
     "op1_brown_class_scores": brown.op1_brown_class_scores,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_rendezvous_shards": sharding.op8_rendezvous_shards,
     "op9_fm_index_repeats": repeats.op9_fm_index_repeats,
     "op10_golden_ratio_mix": mixing.op10_golden_ratio_mix,
+    "op11_periodic_runs": periods.op11_periodic_runs,
     "op12_byte_level_bpe": bpe.op12_byte_level_bpe,
 }
 
@@ -24,4 +25,5 @@ ORACLE = {
     "op8_rendezvous_shards": sharding.ORACLE,
     "op9_fm_index_repeats": repeats.ORACLE,
     "op10_golden_ratio_mix": mixing.ORACLE,
+    "op11_periodic_runs": periods.ORACLE,
 }
