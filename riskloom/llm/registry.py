@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, brown, decontaminate, jaccard, mixing, periods, repeats, sharding, toolcalls, topk, toxicity, warc
+from riskloom.llm import bpe, brown, decontaminate, jaccard, mixing, periods, repeats, sharding, toolcalls, topk, toxicity, trie, warc
 
 QUERIES = {
     "op1_brown_class_scores": brown.op1_brown_class_scores,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_golden_ratio_mix": mixing.op10_golden_ratio_mix,
     "op11_periodic_runs": periods.op11_periodic_runs,
     "op12_byte_level_bpe": bpe.op12_byte_level_bpe,
+    "op13_prefix_trie": trie.op13_prefix_trie,
 }
 
 ORACLE = {
@@ -26,4 +27,5 @@ ORACLE = {
     "op9_fm_index_repeats": repeats.ORACLE,
     "op10_golden_ratio_mix": mixing.ORACLE,
     "op11_periodic_runs": periods.ORACLE,
+    "op13_prefix_trie": trie.ORACLE,
 }
