@@ -10,6 +10,7 @@ Ids return packed by chunk, and the chunk's places pick them up.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,7 +29,7 @@ from riskloom.llm.base import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Places of a chunk; bits of a place's number within its chunk.
-CHUNK, BITS = 8_000_000, 24
+CHUNK, BITS = 3_000_000, 24
 #: Bytes from which merges are taken from a heap instead of by looking at all pairs.
 LONG = 48
 #: Places whose ids are put together at a time.
@@ -114,7 +115,19 @@ def _unpack(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
 
 
-CHUNKS = "chunk long, ids array<long>, sizes binary, places binary, words array<string>"
+def _pack_words(words: list[str]) -> tuple[bytes, bytes]:
+    """Lengths in bytes, and the compressed bytes."""
+    raw = [w.encode() for w in words]
+    return _pack(np.array([len(b) for b in raw], np.int64)), zstandard.ZstdCompressor(level=3).compress(b"".join(raw))
+
+
+def _unpack_words(lengths: bytes, raw: bytes) -> pa.StringArray:
+    ends = np.r_[0, np.cumsum(_unpack(lengths))].astype(np.int32)
+    data = zstandard.ZstdDecompressor().decompress(raw)
+    return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(data))
+
+
+CHUNKS = "chunk long, ids array<long>, sizes binary, places binary, lengths binary, words binary"
 
 
 def _chunks(pattern: str):
@@ -126,7 +139,7 @@ def _chunks(pattern: str):
         task, made = TaskContext.get().partitionId() << 20, 0
         ids: list[int | None] = []
         numbers: dict[str, int] = {}
-        cut: dict[str, np.ndarray] = {}
+        cut: dict[bytes, np.ndarray] = {}
         texts: list[np.ndarray] = []
         held = 0
 
@@ -135,21 +148,21 @@ def _chunks(pattern: str):
             words = sorted(numbers)
             rank = np.empty(len(words), np.int64)
             rank[[numbers[w] for w in words]] = np.arange(len(words))
-            flat = np.concatenate(texts) if texts else np.zeros(0, np.int32)
+            packed = [_pack(np.array([len(t) for t in texts])), _pack(rank[np.concatenate(texts)]), *_pack_words(words)]
             return pa.RecordBatch.from_arrays(
-                [pa.array([task + made], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                 pa.array([_pack(np.array([len(t) for t in texts]))], pa.binary()),
-                 pa.array([_pack(rank[flat])], pa.binary()), pa.array([words], pa.list_(pa.string()))],
-                ["chunk", "ids", "sizes", "places", "words"],
-            )
+                [pa.array([task + made], pa.int64()), pa.array([ids], pa.list_(pa.int64())), *(pa.array([p], pa.binary()) for p in packed)],
+                ["chunk", "ids", "sizes", "places", "lengths", "words"],
+            )
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                if text not in cut:
-                    cut[text] = np.array([numbers.setdefault(w, len(numbers)) for w in find(text)], np.int32)
+            for doc_id, value in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                text = value.as_py()
+                digest = hashlib.sha256(text.encode()).digest()
+                if digest not in cut:
+                    cut[digest] = np.array([numbers.setdefault(w, len(numbers)) for w in find(text)], np.int32)
                 ids.append(doc_id)
-                texts.append(cut[text])
-                held += len(cut[text])
+                texts.append(cut[digest])
+                held += len(cut[digest])
                 if held >= CHUNK or len(numbers) >= 1 << (BITS - 1):
                     yield flush()
                     ids, numbers, cut, texts, held, made = [], {}, {}, [], 0, made + 1
@@ -164,7 +177,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
             chunk = batch.column("chunk")[row].as_py()
-            words = batch.column("words")[row].values
+            words = _unpack_words(batch.column("lengths")[row].as_py(), batch.column("words")[row].as_py())
             if len(words) >= 1 << BITS:
                 raise ValueError("a text has too many different words for a place number")
             place = (chunk << BITS) + np.arange(len(words))
@@ -225,7 +238,7 @@ def _reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
     size, start = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
     size[number], start[number] = length, np.cumsum(length) - length
     out = []
-    for chunk in left.to_pylist():
+    for chunk in left.select(["ids", "sizes", "places"]).to_pylist():
         sizes, places = _unpack(chunk["sizes"]), _unpack(chunk["places"])
         ends = np.cumsum(sizes)
         at, done = 0, 0
