@@ -34,7 +34,7 @@ def test_query_equals_its_twin(spark, twin, name):
 
 
 def test_every_operator_is_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in registry.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in registry.QUERIES}
     assert "pipeline" in entry.queries()
 
 
