@@ -29,11 +29,11 @@ from riskloom.llm.base import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Places of a chunk; bits of a place's number within its chunk.
-CHUNK, BITS = 3_000_000, 24
+CHUNK, BITS = 6_000_000, 24
 #: Bytes from which merges are taken from a heap instead of by looking at all pairs.
 LONG = 48
 #: Places whose ids are put together at a time.
-BLOCK = 1_000_000
+BLOCK = 250_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -106,13 +106,13 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 def _pack(values: np.ndarray) -> bytes:
     """Whole numbers, byte by byte so that the nearly constant high bytes shrink to nothing."""
-    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    planes = np.ascontiguousarray(values.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T)
     return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def _unpack(raw: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").reshape(-1)
 
 
 def _pack_words(words: list[str]) -> tuple[bytes, bytes]:
@@ -122,7 +122,7 @@ def _pack_words(words: list[str]) -> tuple[bytes, bytes]:
 
 
 def _unpack_words(lengths: bytes, raw: bytes) -> pa.StringArray:
-    ends = np.r_[0, np.cumsum(_unpack(lengths))].astype(np.int32)
+    ends = np.r_[0, np.cumsum(_unpack(lengths), dtype=np.int64)].astype(np.int32)
     data = zstandard.ZstdDecompressor().decompress(raw)
     return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(data))
 
@@ -146,8 +146,8 @@ def _chunks(pattern: str):
         def flush() -> pa.RecordBatch:
             # Words in alphabetical order: neighbours share their beginnings.
             words = sorted(numbers)
-            rank = np.empty(len(words), np.int64)
-            rank[[numbers[w] for w in words]] = np.arange(len(words))
+            rank = np.empty(len(words), np.uint32)
+            rank[[numbers[w] for w in words]] = np.arange(len(words), dtype=np.uint32)
             packed = [_pack(np.array([len(t) for t in texts])), _pack(rank[np.concatenate(texts)]), *_pack_words(words)]
             return pa.RecordBatch.from_arrays(
                 [pa.array([task + made], pa.int64()), pa.array([ids], pa.list_(pa.int64())), *(pa.array([p], pa.binary()) for p in packed)],
@@ -224,40 +224,57 @@ def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 PACKED = "chunk long, numbers binary, lengths binary, joined binary"
-RESULT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+RESULT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("text", pa.binary())])
 
 
-def _reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
+def _text(ids: np.ndarray, tokens: list[bytes | None]) -> bytes:
+    """Each id meets its row of the token-byte table."""
+    try:
+        return b"".join([tokens[i] for i in ids.tolist()])
+    except (IndexError, TypeError):
+        raise ValueError("an id is not in the token-byte table") from None
+
+
+def _reassemble(raw: bytes, decode: bool):
     """The texts of a chunk as ids: each place takes the ids of its word's number."""
-    parts = [
-        (np.cumsum(_unpack(n)), _unpack(k), _unpack(j))
-        for n, k, j in zip(*(right.column(c).to_pylist() for c in ("numbers", "lengths", "joined")))
-    ]
-    number, length, ids = (np.concatenate(p) if parts else np.zeros(0, np.int64) for p in (zip(*parts) if parts else ((),) * 3))
-    ids = ids.astype("<u4")
-    size, start = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
-    size[number], start[number] = length, np.cumsum(length) - length
-    out = []
-    for chunk in left.select(["ids", "sizes", "places"]).to_pylist():
-        sizes, places = _unpack(chunk["sizes"]), _unpack(chunk["places"])
-        ends = np.cumsum(sizes)
-        at, done = 0, 0
-        while at < len(sizes):
-            stop = max(at + 1, int(np.searchsorted(ends, done + BLOCK, side="right")))
-            here = places[done : ends[stop - 1]]
-            many = size[here]
-            upto = np.cumsum(many)
-            joined = ids[np.repeat(start[here] - upto + many, many) + np.arange(int(many.sum()))]
-            bound = np.r_[0, upto][ends[at:stop] - done]
-            for doc_id, lo, hi in zip(chunk["ids"][at:stop], np.r_[0, bound[:-1]], bound):
-                out.append((doc_id, int(hi - lo), joined[lo:hi].tobytes()))
-            at, done = stop, int(ends[stop - 1])
-    return pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*out), RESULT)], schema=RESULT) if out else RESULT.empty_table()
-
-
-def encode(docs: DataFrame, ranks: bytes, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        tokens = _tokens(raw) if decode else []
+        parts = [
+            (np.cumsum(_unpack(n), dtype=np.int64), _unpack(k), _unpack(j))
+            for n, k, j in zip(*(right.column(c).to_pylist() for c in ("numbers", "lengths", "joined")))
+        ]
+        number, length, ids = (np.concatenate(p) for p in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 3
+        size, start = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
+        size[number], start[number] = length, np.cumsum(length, dtype=np.int64) - length
+        out = []
+        for row in range(left.num_rows):
+            doc_ids = left.column("ids")[row].as_py()
+            sizes, places = (_unpack(left.column(c)[row].as_py()) for c in ("sizes", "places"))
+            ends = np.cumsum(sizes, dtype=np.int64)
+            at, done = 0, 0
+            while at < len(sizes):
+                stop = max(at + 1, int(np.searchsorted(ends, done + BLOCK, side="right")))
+                here = places[done : ends[stop - 1]]
+                many = size[here]
+                upto = np.cumsum(many)
+                joined = ids[np.repeat(start[here] - upto + many, many) + np.arange(int(many.sum()))]
+                bound = np.r_[0, upto][ends[at:stop] - done]
+                for doc_id, lo, hi in zip(doc_ids[at:stop], np.r_[0, bound[:-1]], bound):
+                    mine = joined[lo:hi]
+                    out.append((doc_id, int(hi - lo), mine.astype("<u4").tobytes(), _text(mine, tokens) if decode else None))
+                at, done = stop, int(ends[stop - 1])
+        columns = zip(*out) if out else ((),) * 4
+        return pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip(columns, RESULT)], schema=RESULT)
+
+    return run
+
+
+def encode(docs: DataFrame, ranks: bytes, pattern: str = public_tokenizers.PATTERN, decode: bool = False) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids (little-endian unsigned 32-bit numbers).
 
+    With ``decode`` also ``text``, the bytes that the ids decode to, in the task that has them.
+
     ``ranks`` are the bytes of a rank file. Each match of ``pattern`` is a word, encoded by
     itself, without special tokens: ``merge``. The chunks are dealt once, by their number; the
     words of that deal and the texts that take ids back from it read the same shuffle.
@@ -273,7 +290,8 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str = public_tokenizers.PATTE
     found = words.mapInArrow(_encoded(ranks), "place long, ids binary")
     packed = found.sortWithinPartitions("place").mapInArrow(_by_chunk, PACKED)
     both = chunks.groupBy("chunk").cogroup(packed.groupBy("chunk"))
-    return both.applyInArrow(_reassemble, "doc_id long, n_tokens long, ids binary")
+    out = both.applyInArrow(_reassemble(ranks, decode), "doc_id long, n_tokens long, ids binary, text binary")
+    return out if decode else out.drop("text")
 
 
 def decoded(ids: Column, ranks: bytes) -> Column:
@@ -284,24 +302,12 @@ def decoded(ids: Column, ranks: bytes) -> Column:
     @F.pandas_udf("binary")
     def decode(column: pd.Series) -> pd.Series:
         tokens = _tokens(ranks)
-
-        def text(raw: bytes | None) -> bytes | None:
-            if raw is None:
-                return None
-            numbers = np.frombuffer(raw, "<u4").tolist()
-            try:
-                return b"".join([tokens[i] for i in numbers])
-            except (IndexError, TypeError):
-                raise ValueError("an id is not in the token-byte table") from None
-
-        return column.map(text, na_action=None)
+        return column.map(lambda raw: None if raw is None else _text(np.frombuffer(raw, "<u4"), tokens))
 
     return decode(ids)
 
 
 def op12_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = read_ranks(public_tokenizers.path(VOCABULARY))
-    tokens = encode(table(spark, sf_dir, "documents", "doc_id", "text"), ranks)
-    return tokens.select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(decoded(F.col("ids"), ranks), 256).alias("decoded_sha256")
-    )
+    tokens = encode(table(spark, sf_dir, "documents", "doc_id", "text"), ranks, decode=True)
+    return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
