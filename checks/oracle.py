@@ -894,7 +894,26 @@ ORACLE["model_inputs"] = sql(
 )
 ORACLE["drift_job_features"] = ORACLE["drift_table"]
 
-ORACLE["stream_scoring"] = ORACLE["score_decisions"]
+_named = "event_id % 89 <> 0 AND event_id % 97 <> 0"
+_client = "CASE WHEN event_id % 89 = 0 THEN user_id + 1000000000 WHEN event_id % 97 <> 0 THEN user_id END"
+_no_result = "NULL, NULL, NULL, NULL, NULL"
+ORACLE["stream_scoring"] = sql(
+    "results requests",
+    f"SELECT event_id, client_id, 'scored' AS status, '' AS reasons, {RESULT.split(', ', 2)[2]} FROM results WHERE {_named}"
+    f" UNION ALL SELECT event_id, client_id, 'rejected', concat_ws(',', {_reasons}), {_no_result}"
+    f" FROM requests WHERE {_named} AND NOT ({VALID})"
+    f" UNION ALL SELECT event_id, {_client}, 'unknown_client', 'client_id', {_no_result}"
+    f" FROM events WHERE NOT ({_named})",
+)
+ORACLE["stream_quarantine"] = sql(
+    "requests",
+    f"SELECT event_id, client_id, {r6('shift', 'shift')}, {r6('limit_bal', 'limit_bal')}, age, 'rejected' AS status,"
+    f" concat_ws(',', {_reasons}) AS reasons FROM requests WHERE {_named} AND NOT ({VALID})"
+    f" UNION ALL SELECT event_id, {_client}, round(value, 6), NULL, NULL, 'unknown_client', 'client_id'"
+    f" FROM events WHERE NOT ({_named})"
+    f" UNION ALL SELECT event_id, {_client}, round(value + 1, 6), NULL, NULL, 'conflicting_repeat', 'event_id'"
+    " FROM events WHERE event_id % 20 = 0",
+)
 ORACLE["stream_log"] = ORACLE["score_counters"]
 ORACLE["stream_drift"] = ORACLE["drift_by_day"]
 

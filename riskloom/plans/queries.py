@@ -670,35 +670,58 @@ def drift_job_features(spark: SparkSession, sf: str) -> DataFrame:
 # ---- streams -------------------------------------------------------------------------
 
 
-def _scored_stream(spark: SparkSession, sf: str, latest: DataFrame) -> str:
-    out = new_path(spark, "scored")
+def _score_stream(spark: SparkSession, events: str, latest: DataFrame, out: str, checkpoint: str) -> None:
     finish(
         score_streaming.score_stream(
-            # A pattern, as the table may be one file or a folder of files.
-            score_streaming.event_stream(spark, f"{sf}/events.parquet*"),
-            latest,
-            out,
-            new_path(spark, "checkpoint"),
-            valid_threshold(latest),
-            VERSION,
-            features=TRACKED_FEATURES,
+            score_streaming.event_stream(spark, events), latest, out, checkpoint,
+            valid_threshold(latest), VERSION, features=TRACKED_FEATURES,
         )
-    )
+    )
+
+
+def _scored_stream(spark: SparkSession, sf: str, latest: DataFrame) -> str:
+    out = new_path(spark, "scored")
+    # A pattern, as the table may be one file or a folder of files.
+    _score_stream(spark, f"{sf}/events.parquet*", latest, out, new_path(spark, "checkpoint"))
+    return out
+
+
+def _disturbed_stream(spark: SparkSession, sf: str) -> str:
+    """All events, some of them without a client or with one that nobody knows; then, after a
+    restart, a tenth of them again, half of those changed."""
+    events = read_table(spark, sf, "events")
+    client = F.when(F.col("event_id") % 89 == 0, F.col("user_id") + 1_000_000_000).when(F.col("event_id") % 97 != 0, F.col("user_id"))
+    first = events.withColumn("user_id", client)
+    again = first.filter("event_id % 10 = 0").withColumn("value", F.when(F.col("event_id") % 20 == 0, F.col("value") + 1).otherwise(F.col("value")))
+    latest = stored_latest(spark, sf)
+    folder, out, checkpoint = (new_path(spark, n) for n in ("events", "scored", "checkpoint"))
+    for delivery in (first, again):
+        delivery.write.mode("append").parquet(folder)
+        _score_stream(spark, folder, latest, out, checkpoint)
     return out
 
 
 @query
 def stream_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    """One answer per event id: its result, or why it has none."""
+    answers = score_streaming.read_results(spark, _disturbed_stream(spark, sf), TRACKED_FEATURES)
     return shown(
-        score_streaming.read_results(
-            spark, _scored_stream(spark, sf, stored_latest(spark, sf)), TRACKED_FEATURES
-        ).select(
-            "event_id", "client_id", "default_probability", "decision", "threshold", "risk_band",
-            "model_version",
+        answers.select(
+            "event_id", "client_id", "status", F.array_join("reasons", ",").alias("reasons"), "default_probability",
+            "decision", "threshold", "risk_band", "model_version",
         )
     )
 
 
+@query
+def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests of the same stream that have no result, and repeats with other content."""
+    held = score_streaming.read_quarantine(spark, f"{_disturbed_stream(spark, sf)}-quarantine")
+    return shown(
+        held.select("event_id", "client_id", "shift", "limit_bal", "age", "status", F.array_join("reasons", ",").alias("reasons"))
+    )
+
+
 def _logged_stream(spark: SparkSession, sf: str, latest: DataFrame) -> str:
     out = new_path(spark, "log")
     answers = _scored_stream(spark, sf, latest)

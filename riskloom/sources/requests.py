@@ -11,10 +11,11 @@ from riskloom.operators.scoring import RECORD_FIELDS
 REQUEST_COLUMNS = ("event_id", "batch_id", "predicted_at", "client_id", "shift")
 
 
-def event_requests(events: DataFrame) -> DataFrame:
+def event_requests(events: DataFrame, *keep: str) -> DataFrame:
     """Request headers from events; requests of one hour form a batch.
 
-    ``shift`` is the percentage by which a perturbed sample moves the limit.
+    ``shift`` is the percentage by which a perturbed sample moves the limit. ``keep`` names
+    further columns to carry along.
     """
     return events.select(
         "event_id",
@@ -22,6 +23,7 @@ def event_requests(events: DataFrame) -> DataFrame:
         F.col("ts").alias("predicted_at"),
         F.col("user_id").alias("client_id"),
         F.col("value").alias("shift"),
+        *keep,
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,16 +15,19 @@ from riskloom.session import materialise, new_path
 from riskloom.sources.panel import raw_panel
 from riskloom.sources.requests import attach_records, event_requests
 from riskloom.sources.tables import read_table
+from riskloom.streaming.arrivals import state_settings
 from riskloom.streaming.drift import drift_stream, read_daily_drift
 from riskloom.streaming.scoring import (
     event_stream,
     log_stream,
+    quarantine_schema,
     read_loads,
+    read_quarantine,
     read_results,
     score_stream,
 )
 from riskloom.streaming.sink import finish, is_complete, write_batch
-from tests.conftest import SF
+from tests.conftest import SF, account
 
 KEEP = ("event_id", "predicted_at", *LOG_INPUTS)
 
@@ -68,7 +73,7 @@ def same(a, b):
 
 
 def test_stream_scores_every_event_once(spark, scored, batch_results):
-    results = read_results(spark, scored)
+    results = read_results(spark, scored).filter("status = 'scored'")
     assert results.select("batch").distinct().count() >= 3
     columns = [c for c in batch_results.columns if c != "predicted_at"]
     assert same(results.select(*columns), batch_results.select(*columns))
@@ -123,6 +128,67 @@ def test_no_event_is_too_late_and_none_is_scored_twice(spark, latest, batch_resu
         part.coalesce(1).write.mode("append").parquet(folder)
         finish(score_stream(event_stream(spark, folder, files_per_trigger=1), latest, out, checkpoint, 0.3, "v1"))
     results = read_results(spark, out)
+    assert results.count() == results.select("event_id").distinct().count() == events.count()
+    results = results.filter("status = 'scored'")
     columns = [c for c in batch_results.columns if c != "predicted_at"]
     assert results.select("batch").distinct().count() >= 4
     assert same(results.select(*columns), batch_results.select(*columns))
+
+
+EVENT = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def event(spark, *rows):
+    """Events (id, client, value) of one moment; None for the id or the client."""
+    made = [(i, datetime(2024, 1, 5, 10), c, "ask", v, "") for i, c, v in rows]
+    return spark.createDataFrame(made, EVENT).coalesce(1)
+
+
+def test_every_event_id_has_one_answer_and_odd_ones_are_kept_apart(spark, make, tmp_path):
+    bad = account(3, pays=(-5.0,) * 6, age=17)
+    accounts = materialise(make([account(1), account(2), bad]))
+    folder, out, checkpoint = (str(tmp_path / n) for n in ("events", "out", "checkpoint"))
+    deliveries = [
+        [(10, 1, 0.5), (11, 3, 0.5), (12, 99, 0.5), (13, None, 0.5), (None, 1, 0.5), (None, 1, 0.5)],
+        [(10, 1, 0.5), (11, 3, 0.5), (12, 99, 0.5)],
+        [(14, 2, 2.0), (14, 2, 1.0), (14, 2, 1.0), (15, 2, None)],
+        [(15, 2, 0.0), (10, 2, 0.5)],
+    ]
+    for rows in deliveries:  # a restart between any two
+        event(spark, *rows).write.mode("append").parquet(folder)
+        finish(score_stream(event_stream(spark, folder), accounts, out, checkpoint, 0.3, "v1"))
+    answers = {r["event_id"]: r for r in read_results(spark, out).collect()}
+    assert read_results(spark, out).count() == len(answers) == 6
+    assert {i: (r["status"], r["reasons"]) for i, r in answers.items()} == {
+        10: ("scored", []), 14: ("scored", []), 15: ("scored", []),
+        11: ("rejected", ["age", *(f"pay_amt_{i}" for i in range(1, 7))]),
+        12: ("unknown_client", ["client_id"]), 13: ("unknown_client", ["client_id"]),
+    }
+    assert all((r["default_probability"] is None) == (r["status"] != "scored") for r in answers.values())
+    held = read_quarantine(spark, f"{out}-quarantine").collect()
+    told = sorted((str(r["event_id"]), r["status"], str(r["client_id"])) for r in held)
+    assert told == [
+        ("10", "conflicting_repeat", "2"), ("11", "rejected", "3"), ("12", "unknown_client", "99"), ("13", "unknown_client", "None"),
+        ("14", "conflicting_repeat", "2"), ("15", "conflicting_repeat", "2"), ("None", "missing_id", "1"), ("None", "missing_id", "1"),
+    ]
+    assert [r["age"] for r in held if r["event_id"] == 11] == [17]
+    written = spark.read.option("basePath", f"{out}-quarantine").parquet(f"{out}-quarantine")
+    assert dict(spark.createDataFrame([], quarantine_schema()).drop("batch").dtypes) == {c: t for c, t in written.dtypes if c != "batch"}
+
+
+def test_an_id_is_forgotten_after_its_time(spark, make, tmp_path):
+    accounts = materialise(make([account(1)]))
+    folder, out, checkpoint = (str(tmp_path / n) for n in ("events", "out", "checkpoint"))
+    for _ in range(2):
+        event(spark, (1, 1, 0.0)).write.mode("append").parquet(folder)
+        within = timedelta(milliseconds=1)
+        finish(score_stream(event_stream(spark, folder), accounts, out, checkpoint, 0.3, "v1", repeats_within=within))
+    assert read_results(spark, out).count() == 2
+
+
+def test_the_session_keeps_its_settings(spark):
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(key)
+    with state_settings(spark):
+        assert spark.conf.get(key) == "false"
+    assert spark.conf.get(key) == before
