@@ -247,7 +247,7 @@ def _reassemble(raw: bytes, decode: bool):
         number, length, ids = (np.concatenate(p) for p in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 3
         size, start = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
         size[number], start[number] = length, np.cumsum(length, dtype=np.int64) - length
-        out = []
+        blocks = [RESULT.empty_table()]
         for row in range(left.num_rows):
             doc_ids = left.column("ids")[row].as_py()
             sizes, places = (_unpack(left.column(c)[row].as_py()) for c in ("sizes", "places"))
@@ -260,12 +260,13 @@ def _reassemble(raw: bytes, decode: bool):
                 upto = np.cumsum(many)
                 joined = ids[np.repeat(start[here] - upto + many, many) + np.arange(int(many.sum()))]
                 bound = np.r_[0, upto][ends[at:stop] - done]
-                for doc_id, lo, hi in zip(doc_ids[at:stop], np.r_[0, bound[:-1]], bound):
-                    mine = joined[lo:hi]
-                    out.append((doc_id, int(hi - lo), mine.astype("<u4").tobytes(), _text(mine, tokens) if decode else None))
+                mine = [joined[lo:hi] for lo, hi in zip(np.r_[0, bound[:-1]], bound)]
+                texts = [_text(x, tokens) if decode else None for x in mine]
+                columns = (doc_ids[at:stop], [len(x) for x in mine], [x.astype("<u4").tobytes() for x in mine], texts)
+                # A batch of its own for each block: neither side holds a chunk's results at once.
+                blocks.append(pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip(columns, RESULT)], schema=RESULT))
                 at, done = stop, int(ends[stop - 1])
-        columns = zip(*out) if out else ((),) * 4
-        return pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip(columns, RESULT)], schema=RESULT)
+        return pa.concat_tables(blocks)
 
     return run
 
