@@ -84,6 +84,21 @@ def _cut_points(df: DataFrame, order: str, rows_per_bucket: int) -> list[float]:
     return sorted(set(few.agg(F.expr(text).alias("cuts")).first()["cuts"] or ()))
 
 
+def value_ranges(
+    df: DataFrame, order: str, name: str, rows_per_bucket: int | None = None
+) -> tuple[DataFrame, int]:
+    """``df`` with the number (int, from 0) of the range that ``order`` lies in, and how many
+    ranges there are. Cut points are literals, as in ``running_totals``."""
+    cuts = _cut_points(df, order, rows_per_bucket or _PLAN.get().rows_per_bucket)
+    if not cuts:
+        return df.withColumn(name, F.lit(0)), 1
+    number, place = _free_name(df, "_order"), _free_name(df, "_range")
+    numeric = df.withColumn(number, F.col(order).cast("double"))
+    edges = [float("-inf"), *cuts, float("inf")]
+    ranged = Bucketizer(splits=edges, inputCol=number, outputCol=place).transform(numeric)
+    return ranged.select(*df.columns, F.col(place).cast("int").alias(name)), len(edges) - 1
+
+
 def running_totals(
     df: DataFrame,
     order: str,

@@ -1036,6 +1036,7 @@ __all__ = ["QUERIES"]
 RANGED = (
     "cv_folds", "cost_curve", "optimal_threshold", "ranking_metrics", "metrics_row", "calibration", "fairness",
     "cost_sweep", "lgd_stats", "prob_summary", "impute_median", "standardise", "drift_table",
+    "isotonic_fit",
 )
 
 

@@ -37,6 +37,7 @@ from riskloom.operators.evaluate import (
     tied_counts,
 )
 from riskloom.operators.features import model_columns, split_frame
+from riskloom.operators.isotonic import isotonic_steps
 from riskloom.operators.prep import (
     Preparation,
     fit_preparation,
@@ -305,10 +306,14 @@ def calibrate(
 def fit_isotonic(counts: DataFrame, score: str) -> IsotonicRegressionModel:
     """Monotone steps through tied counts (``p``, ``pos``, ``n``), read from ``score``.
 
-    The model holds a point per step; Spark pools the last ones on the driver.
+    The steps are pooled in tasks (``isotonic_steps``); only their ends, which are the model,
+    reach the driver.
     """
-    points = counts.selectExpr(
-        f"p AS {score}", "pos / cast(n as double) AS y", "cast(n as double) AS w"
+    ends = F.expr("if(low < high, array(low, high), array(low))")
+    points = isotonic_steps(counts).select(
+        F.explode(ends).alias(score),
+        (F.col("pos") / F.col("n").cast("double")).alias("y"),
+        (F.col("n").cast("double") / F.size(ends)).alias("w"),
     )
     return IsotonicRegression(
         featuresCol=score, labelCol="y", weightCol="w", predictionCol="calibrated", featureIndex=1
