@@ -29,7 +29,7 @@ from riskloom.llm.base import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Places of a chunk; bits of a place's number within its chunk.
-CHUNK, BITS = 6_000_000, 24
+CHUNK, BITS = 4_000_000, 24
 #: Bytes from which merges are taken from a heap instead of by looking at all pairs.
 LONG = 48
 #: Places whose ids are put together at a time.
@@ -106,13 +106,18 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 def _pack(values: np.ndarray) -> bytes:
     """Whole numbers, byte by byte so that the nearly constant high bytes shrink to nothing."""
-    planes = np.ascontiguousarray(values.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+    engine = zstandard.ZstdCompressor(level=3).compressobj()
+    planes = [engine.compress((values >> (8 * k)).astype(np.uint8).tobytes()) for k in range(4)]
+    return b"".join([*planes, engine.flush()])
 
 
 def _unpack(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").reshape(-1)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompressobj().decompress(raw), np.uint8).reshape(4, -1)
+    out = planes[0].astype(np.uint32)
+    for k in range(1, 4):
+        if planes[k].any():
+            out |= planes[k].astype(np.uint32) << np.uint32(8 * k)
+    return out
 
 
 def _pack_words(words: list[str]) -> tuple[bytes, bytes]:
