@@ -32,8 +32,8 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 CHUNK, BITS = 4_000_000, 24
 #: Bytes from which merges are taken from a heap instead of by looking at all pairs.
 LONG = 48
-#: Places whose ids are put together at a time.
-BLOCK = 250_000
+#: Places whose ids are put together at a time; words whose ids are packed at a time.
+BLOCK, HELD = 250_000, 200_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -191,43 +191,46 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _encoded(raw: bytes):
-    """Rows (word, place) sorted by word to (place, ids): each run of one word is encoded once,
-    and its ids joined to every row of the run. Ids are little-endian unsigned 32-bit numbers."""
+    """Rows (word, place) sorted by word to rows (chunk, numbers, lengths, ids).
+
+    Each run of one word is encoded once, and its ids joined to every row of the run. HELD rows at a
+    time are packed by chunk; a chunk's numbers rise as its words do.
+    """
+
+    def pack(places: list[np.ndarray], ids: list[bytes]) -> pa.RecordBatch:
+        place = np.concatenate(places)
+        order = np.argsort(place >> BITS, kind="stable")
+        chunk, number = place[order] >> BITS, place[order] & ((1 << BITS) - 1)
+        lengths = np.array([len(b) >> 2 for b in ids])
+        cuts = np.r_[0, np.flatnonzero(chunk[1:] != chunk[:-1]) + 1, len(chunk)]
+        out = []
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            joined = np.frombuffer(b"".join([ids[k] for k in order[lo:hi]]), "<u4")
+            out.append((int(chunk[lo]), _pack(np.diff(number[lo:hi], prepend=0)), _pack(lengths[order[lo:hi]]), _pack(joined)))
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*out), kinds)], ["chunk", "numbers", "lengths", "joined"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = _ranks(raw)
-        last, ids = None, b""
+        last, last_ids = None, b""
+        places: list[np.ndarray] = []
+        ids: list[bytes] = []
         for batch in batches:
-            out = []
-            for word in batch.column("word").to_pylist():
-                if word != last:
-                    last, ids = word, np.array(merge(word.encode(), ranks), "<u4").tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column("place"), pa.array(out, pa.binary())], ["place", "ids"])
+            for word in batch.column("word"):
+                text = word.as_py()
+                if text != last:
+                    last, last_ids = text, np.array(merge(text.encode(), ranks), "<u4").tobytes()
+                ids.append(last_ids)
+            places.append(batch.column("place").to_numpy())
+            if len(ids) >= HELD:
+                yield pack(places, ids)
+                places, ids = [], []
+        if ids:
+            yield pack(places, ids)
 
     return run
 
 
-def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (place, ids) sorted by place to one row per chunk and batch: numbers, lengths, ids."""
-    for batch in batches:
-        place = batch.column("place").to_numpy()
-        ids = batch.column("ids").to_pylist()
-        chunk = place >> BITS
-        cuts = np.r_[0, np.flatnonzero(chunk[1:] != chunk[:-1]) + 1, len(chunk)]
-        out = []
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            if lo < hi:
-                number = place[lo:hi] & ((1 << BITS) - 1)
-                lengths = np.array([len(b) >> 2 for b in ids[lo:hi]])
-                joined = np.frombuffer(b"".join(ids[lo:hi]), "<u4")
-                out.append((int(chunk[lo]), _pack(np.diff(number, prepend=0)), _pack(lengths), _pack(joined)))
-        if out:
-            names = ["chunk", "numbers", "lengths", "joined"]
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*out), kinds)], names)
-
-
 PACKED = "chunk long, numbers binary, lengths binary, joined binary"
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("text", pa.binary())])
 
@@ -293,8 +296,7 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str = public_tokenizers.PATTE
     chunks = rows.mapInArrow(_chunks(pattern), CHUNKS).repartition("chunk")
     # All rows of a word lie side by side in one task: one row per chunk that has it.
     words = chunks.mapInArrow(_words, "word string, place long").repartition("word").sortWithinPartitions("word")
-    found = words.mapInArrow(_encoded(ranks), "place long, ids binary")
-    packed = found.sortWithinPartitions("place").mapInArrow(_by_chunk, PACKED)
+    packed = words.mapInArrow(_encoded(ranks), PACKED)
     both = chunks.groupBy("chunk").cogroup(packed.groupBy("chunk"))
     out = both.applyInArrow(_reassemble(ranks, decode), "doc_id long, n_tokens long, ids binary, text binary")
     return out if decode else out.drop("text")

@@ -41,6 +41,7 @@ def test_edges(spark, library, monkeypatch, chunk, block, batch):
     """Nulls, empty and blank texts, odd white space, one long word, ties of ids, copies."""
     monkeypatch.setattr(bpe, "CHUNK", chunk)
     monkeypatch.setattr(bpe, "BLOCK", block)
+    monkeypatch.setattr(bpe, "HELD", block)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
     texts = [
         (1, None), (2, ""), (3, "   "), (4, "a\x1cb\x85c\u2003 d\u3000"), (5, "word" * 3000), (6, "x y" * 2000),
