@@ -979,6 +979,34 @@ ORACLE["train_network"] = (
 ORACLE["search_settings"] = sql(
     "train", "SELECT count(*) AS n, 20 AS settings, 4 AS folds, true AS best_chosen FROM train"
 )
+ORACLE["boosted_search"] = sql(
+    "train",
+    "SELECT count(*) AS n, 25 AS settings, 4 AS folds, true AS best_chosen, true AS better_than_chance FROM train",
+)
+_sixteenths = ", ".join(f"{k / 16}e0" for k in range(1, 16))
+ORACLE["boosted_gains"] = sql(
+    "train",
+    "SELECT feature, round(gain, 6) AS gain, CASE WHEN e < 1e300 THEN round(e, 6) END AS threshold, side = 1 AS missing_left"
+    " FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY e, side) AS k FROM (SELECT *, max(gain) OVER"
+    " (PARTITION BY feature) AS top FROM gains) WHERE gain >= top - 1e-9) WHERE k = 1",
+    {
+        "balanced": "SELECT *, count(*) OVER () / (2e0 * count(*) OVER (PARTITION BY default_next_month)) AS w FROM train",
+        "cell": " UNION ALL ".join(
+            f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS x, w * (0.5e0 - default_next_month) AS g, w * 0.25e0 AS h FROM balanced"
+            for f in FEATURES
+        ),
+        "edge": " UNION ALL ".join(
+            f"SELECT DISTINCT '{f}' AS feature, unnest(quantile_cont(CAST({f} AS DOUBLE), [{_sixteenths}])) AS e FROM train"
+            f" UNION ALL SELECT '{f}', 1e308"
+            for f in FEATURES
+        ),
+        "part": "SELECT feature, e, side, sum(g) AS ga, sum(h) AS ha, count(*) AS na, sum(g) FILTER (l) AS gl,"
+        " sum(h) FILTER (l) AS hl, count(*) FILTER (l) AS nl FROM (SELECT c.*, e, side, coalesce(x <= e, side = 1) AS l"
+        " FROM cell c JOIN edge USING (feature), (SELECT unnest([0, 1]) AS side)) GROUP BY feature, e, side",
+        "gains": "SELECT feature, e, side, gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (ha - hl + 1) - ga * ga / (ha + 1) AS gain"
+        " FROM part WHERE nl >= 20 AND na - nl >= 20 AND hl >= 1e-3 AND ha - hl >= 1e-3",
+    },
+)
 # Five indicators and the columns that are not nominal.
 ORACLE["linear_optimum"] = f"SELECT true AS at_optimum, {len(NUMERIC) + 5} AS inputs"
 _tied = {

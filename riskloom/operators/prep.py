@@ -54,13 +54,17 @@ class Preparation:
             for c, low in self.lowest.items()
         }
 
+    def with_missing(self) -> dict[str, str]:
+        """For trees that have a branch for a missing value: NaN."""
+        return {c: f"coalesce(cast({c} as double), double('NaN'))" for c in self.lowest}
+
     def stages(self, numeric: dict[str, str]) -> PipelineModel:
         """Stages that add the vector ``features``; they save like any built-in stage."""
         columns = {**self.one_hot(), **numeric}
         names = [f"x_{c}" for c in columns]
         text = ", ".join(f"{expr} AS x_{c}" for c, expr in columns.items())
         select = SQLTransformer(statement=f"SELECT *, {text} FROM __THIS__")
-        assemble = VectorAssembler(inputCols=names, outputCol="features")
+        assemble = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
         return PipelineModel([select, assemble])
 
 

@@ -151,7 +151,7 @@ def test_winner_is_chosen_on_valid(table, monkeypatch):
     candidates = [
         training.logistic_candidate(SHORT),
         training.boosted_candidate(
-            SHORT, {"stepSize": (0.1,), "maxDepth": (2,), "minInstancesPerNode": (20,), "maxIter": (3,)}
+            SHORT, {"step": (0.1,), "depth": (2,), "leaves": (4,), "least": (20,), "l2": (1.0,), "rounds": (3,)}
         ),
     ]
     o = training.train(table, candidates, SHORT, "trees")
