@@ -146,7 +146,7 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
 
 @pytest.mark.parametrize("most", [joins.ROWS_PER_TASK, 2])
 def test_calls_and_results_that_share_an_id_all_stay(spark, monkeypatch, most):
-    monkeypatch.setattr(joins.join_hot_split, "__defaults__", ("inner", most, joins.MOST_HOT))
+    monkeypatch.setattr(joins.join_hot_split, "__defaults__", ("inner", most, joins.MOST_HOT, joins.MOST_SALTED))
     texts = ['{"turn":1,"text":"p"}', '{"turn":2,"text":""}', "{bad", None, '{"turn":1,"text":"p"}']
     calls = spark.createDataFrame([(1, "a", None, "reply", t, 0) for t in texts] + [(1, "b", None, "reply", texts[0], 0)], CALL)
     results = spark.createDataFrame([(1, i, c) for i in "abq" for c in ("u", "v", "v", None)], "conv_id long, id string, content string")
