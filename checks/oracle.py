@@ -524,6 +524,7 @@ ORACLE["table_operations"] = sql(
 ORACLE["raw_load"] = ORACLE["write_read_parquet"]
 
 ORACLE["dedup_latest"] = sql("latest", f"SELECT {RAW_ROW} FROM latest")
+ORACLE["incremental_load"] = ORACLE["dedup_latest"]
 ORACLE["clean_table"] = sql("clean", f"SELECT {CLEAN_ROW} FROM clean")
 ORACLE["clean_audit"] = sql(
     "latest raw",

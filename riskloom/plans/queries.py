@@ -43,7 +43,7 @@ from riskloom.plans.pipeline import run_pipeline
 from riskloom.plans.registry import load_model, read_metadata, save_model
 from riskloom.plans.report import report_tables, write_reports
 from riskloom.session import materialise, new_path
-from riskloom.sources import catalog, landing
+from riskloom.sources import catalog, landing, newest
 from riskloom.sources.panel import (
     FIXTURE_SCORE,
     INGESTED_AT,
@@ -250,6 +250,17 @@ def raw_load(spark: SparkSession, sf: str) -> DataFrame:
     return shown(spark.table(name))
 
 
+@query
+def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest row per client after loading two days, the later one first, and a part again."""
+    raw = materialise(raw_panel(spark, sf))
+    kept = newest.new_table(spark, f"newest_{uuid.uuid4().hex}", raw.schema, slices=8, buckets=4)
+    second = F.to_date("ingested_at") == F.to_date(F.lit("2026-01-02"))
+    for part in (second, ~second, F.col("client_id") % 50 == 0):
+        kept.load(raw.filter(part))
+    return shown(kept.read())
+
+
 # ---- cleaning and features -----------------------------------------------------------
 
 
