@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.months import PAY, total
+from riskloom.operators.compare import differing_rows
 from riskloom.operators.ranks import exact_quantiles
 from riskloom.session import materialise
 
@@ -46,12 +47,26 @@ def split_moves(before: DataFrame, after: DataFrame) -> DataFrame:
     return left.join(right, "client_id").filter("split_before <> split_after")
 
 
-def skew_audit(served: DataFrame, stored: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per feature: rows compared, rows that differ (NULL equals NULL), largest gap."""
-    mine = served.selectExpr("client_id", *(f"cast({c} as double) AS a{k}" for k, c in enumerate(columns)))
-    other = stored.selectExpr("client_id", *(f"cast({c} as double) AS b{k}" for k, c in enumerate(columns)))
+def skew_audit(
+    served: DataFrame, stored: DataFrame, columns: Sequence[str], bucket: Column | None = None
+) -> DataFrame:
+    """Per feature: rows compared, rows that differ (NULL equals NULL), largest gap.
+
+    Buckets of ids are compared by hashes first (``differing_rows``, also for ``bucket``); only rows
+    of buckets that differ are joined.
+    """
+    kept = [] if bucket is None else [bucket]
+    doubles = [F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)]
+    sides = [df.select("client_id", *doubles, *kept) for df in (served, stored)]
+    names = [f"c{k}" for k in range(len(columns))]
+    mine, other, equal = differing_rows(*sides, "client_id", names, bucket)
+    if mine is None:
+        zero = [(c, equal, 0, 0.0) for c in columns]
+        return served.sparkSession.createDataFrame(zero, "feature string, n bigint, differing bigint, max_abs_diff double")
+    mine = mine.select("client_id", *(F.col(n).alias(f"a{k}") for k, n in enumerate(names)))
+    other = other.select("client_id", *(F.col(n).alias(f"b{k}") for k, n in enumerate(names)))
     # Counted wide, one aggregate per column, so no row is multiplied by the features.
-    aggregates = ["count(*) AS n"]
+    aggregates = [f"count(*) + {equal} AS n"]
     for k in range(len(columns)):
         aggregates.append(f"count_if(NOT a{k} <=> b{k}) AS differ{k}")
         aggregates.append(f"coalesce(max(abs(a{k} - b{k})), 0.0D) AS gap{k}")
