@@ -8,6 +8,7 @@ label, whatever their neighbours, are the positive examples. A text scores by it
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -31,6 +32,8 @@ START, END, PAD = 0, 61, 63
 SAMPLE, POSITIVES, NEGATIVES, LANDMARKS = 10_000, 2_000, 6_000, 160
 #: More positive words become landmarks until none has more of its squared length outside.
 REST = 0.5
+#: Words whose lengths are taken at a time; words whose scores a task keeps.
+NORMED, KEPT = 4_096, 400_000
 #: Longer words are read in pieces that overlap by SPAN characters.
 PIECE = 64
 FOLDS, HELD_OUT = 5, 0
@@ -95,9 +98,18 @@ def features(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, float]]
 
 
 def norms(words: list[str]) -> np.ndarray:
+    """Length of each word's vector: a subsequence that occurs several times is one entry, with the sum
+    of its weights. Only the number of skipped characters is kept beside the entry."""
+    if len(words) > NORMED:
+        return np.concatenate([norms(words[i : i + NORMED]) for i in range(0, len(words), NORMED)])
+    keys = [((who << 20 | slot) << 3) | int(round(np.log(weight) / np.log(DECAY))) for who, slot, weight in features(words)]
     out = np.zeros(len(words))
-    for who, _, weight in features(words):
-        out += np.bincount(who, minlength=len(words)) * weight**2
+    if keys:
+        key = np.sort(np.concatenate(keys))
+        first = np.flatnonzero(np.r_[True, key[1:] >> 3 != key[:-1] >> 3])
+        if len(first):
+            entry = np.add.reduceat(DECAY ** (key & 7), first)
+            out += np.bincount(key[first] >> 23, entry**2, len(words))
     return np.sqrt(np.maximum(out, 1e-12))
 
 
@@ -201,18 +213,23 @@ def _worst(weights: np.ndarray, bias: float, a: float, b: float, keep: list[str]
     """Map batches to the kept columns, the worst word's decision, and a probability."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A word's score does not depend on its text: words seen before in the task are looked up.
+        ids: dict[str, int] = {}
+        score = np.zeros(0)
         for batch in batches:
             for low in range(0, batch.num_rows, 1024):
                 part = batch.slice(low, 1024)
-                ids: dict[str, int] = {}
+                if len(ids) > KEPT:
+                    ids, score = {}, np.zeros(0)
                 words, ends = [], []
                 for text in part.column("text").to_pylist():
                     words += [ids.setdefault(w, len(ids)) for w in units(text)]
                     ends.append(len(words))
                 found = np.full(part.num_rows, -2.0)
-                if ids:
-                    known = list(ids)
-                    score = np.concatenate([word_scores(known[i : i + 20_000], weights, bias) for i in range(0, len(known), 20_000)])
+                new = list(itertools.islice(ids, len(score), None))
+                if new:
+                    score = np.concatenate([score, *(word_scores(new[i : i + 20_000], weights, bias) for i in range(0, len(new), 20_000))])
+                if words:
                     per = score[np.asarray(words)]
                     starts = np.array([0, *ends[:-1]], np.int64)
                     some = np.asarray(ends) > starts
@@ -250,7 +267,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     # At most 2 * sample ids.
     chosen = F.broadcast(some[0].unionByName(some[1]))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = stored(texts.join(chosen, texts["doc_id"] == chosen["_id"]).select("text", "toxic"), "toxic-sample")
+    # Of rows that repeat a sampled id the smallest text is learnt from: one row per id.
+    drawn = texts.join(chosen, texts["doc_id"] == chosen["_id"]).groupBy("_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    rows = stored(drawn.select("text", "toxic"), "toxic-sample")
     counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_pos, n_neg = counts.get(1, 0), counts.get(0, 0)
     prior = (sizes.get(1, 0) + 1) / (sum(sizes.values()) + 2)

@@ -86,6 +86,44 @@ def test_kernel_keeps_similarity_under_gaps():
     assert math.isclose(k[0], 1, rel_tol=1e-5) and k[1] > 0.25 and k[2] > 0.25 and k[3] < 0.05
 
 
+def test_every_word_has_similarity_one_with_itself():
+    """The plain kernel: entries by subsequence and place of its class in the table, weights added up."""
+    words = ["aaaaaa", "banana", "abbc", "idiot", "x", "mississippi", "w" * 300]
+    assert np.allclose(np.diag(toxicity._kernel(words, words)), 1, rtol=1e-5)
+    for word, length in zip(words, toxicity.norms(words)):
+        entries = Counter()
+        for _, slots, weight in toxicity.features([word]):
+            for slot in slots.tolist():
+                entries[slot] += weight
+        assert math.isclose(length, math.sqrt(sum(v * v for v in entries.values())), rel_tol=1e-9)
+
+
+def test_scores_equal_the_kernel_expansion_and_do_not_depend_on_batches(spark):
+    docs, labels = planted(spark, 80)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(frame(spark, docs), known)
+    weights, bias, a, b = model
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_texts(frame(spark, docs), model).collect()}
+    for i, text in docs:
+        worst = max(toxicity.word_scores([w], weights, bias)[0] for w in toxicity.units(text))
+        assert math.isclose(got[i], 1 / (1 + math.exp(-(a * min(max(worst, -2), 2) + b))), rel_tol=1e-5)
+    kept, toxicity.KEPT = toxicity.KEPT, 3
+    try:
+        again = {r["doc_id"]: r["score"] for r in toxicity.score_texts(frame(spark, docs).coalesce(1), model).collect()}
+    finally:
+        toxicity.KEPT = kept
+    assert all(math.isclose(again[i], got[i], rel_tol=1e-6) for i in got)
+
+
+def test_a_repeated_sampled_id_is_one_row_of_the_sample(spark, monkeypatch):
+    docs, labels = planted(spark, 60)
+    sizes = []
+    real = toxicity.stored
+    monkeypatch.setattr(toxicity, "stored", lambda df, name: (lambda t: (sizes.append(t.count()) if name == "toxic-sample" else None, t)[1])(real(df, name)))
+    toxicity.train(frame(spark, docs + docs[:5] * 50), spark.createDataFrame(labels, "doc_id long, toxic int"), sample=10)
+    assert sizes and sizes[0] <= 20
+
+
 def test_a_rare_insult_is_told_behind_many_forms_of_another():
     rng = np.random.default_rng(6)
     letters = list("abcdefgilmnoprstu")
