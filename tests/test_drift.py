@@ -85,14 +85,13 @@ def test_constant_baseline_is_zero_and_marked(column):
     assert row["psi"] == 0.0 and row["constant_baseline"]
 
 
-def test_nan_is_ignored_but_counted_as_a_row(column):
-    rng = np.random.default_rng(6)
-    base, now = rng.normal(size=5000), rng.normal(size=2000)
-    plain = psi(column, base, now)
-    with_nan = psi(column, base, [*now, *[float("nan")] * 500])
-    assert with_nan["psi"] == pytest.approx(plain["psi"], abs=1e-12)
-    assert with_nan["current_mean"] == pytest.approx(now.mean())
-    assert with_nan["current_n"] == 2500
+@pytest.mark.parametrize("gone", [1, 37])
+def test_values_that_are_no_number_weigh_nothing(column, gone):
+    """Shares and mean come from the numbers alone; the rows without one are still counted."""
+    now = in_quarters(4, 9, 2, 5)
+    row = psi(column, LADDER, [*([float("nan")] * gone), *now], 4)
+    assert row["psi"] == pytest.approx(by_shares([0.25] * 4, [0.2, 0.45, 0.1, 0.25]))
+    assert (row["current_n"], row["current_mean"]) == (20 + gone, pytest.approx(np.mean(now)))
 
 
 def test_infinite_values_fall_into_the_outer_bins(column):

@@ -131,10 +131,15 @@ def test_metric_row_against_brute_force(score_frame):
     assert row["cost_per_client"] == pytest.approx(COST.expected_cost(**o) / 600)
 
 
-def test_perfect_scores(score_frame):
-    y = np.array([0, 0, 1, 1, 0, 1])
-    row = metrics(ranked_scores(score_frame(y, y.astype(float))), COST, 0.5).first()
-    assert (row["roc_auc"], row["recall"], row["fn"], row["fp"]) == (1.0, 1.0, 0, 0)
+@pytest.mark.parametrize("gap", [0.02, 0.6])
+def test_scores_that_part_the_classes_cost_only_the_interventions(score_frame, gap):
+    """Nine accounts, the four defaulters all above the rest, however small the distance."""
+    y = np.array([1, 0, 0, 1, 1, 0, 0, 1, 0])
+    p = 0.1 + gap * y + np.arange(9) / 1000
+    row = metrics(ranked_scores(score_frame(y, p)), COST, float(p[y == 1].min())).first()
+    assert [row[c] for c in ("tp", "tn", "fn", "fp")] == [4, 5, 0, 0]
+    assert row["pr_auc"] == row["roc_auc"] == row["f1"] == 1.0
+    assert row["cost_per_client"] == pytest.approx(4 * COST.true_positive / 9)
 
 
 def test_one_class_has_no_auc_and_zero_scores(score_frame):
