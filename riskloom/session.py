@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,9 +66,36 @@ def work_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Paths handed out since the innermost ``work_scope`` began.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no earlier run has used."""
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Owns what is stored inside: the intermediate tables are deleted at the end.
+
+    Frames read from them are void from then on, so write or collect results inside. Paths
+    asked for in an inner scope, or on other threads, are not this scope's. Gives the list of paths; one taken
+    off it is kept.
+    """
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
