@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from riskloom.session import materialise
 
 SAMPLE_SEED = 17
-ACCURACY = 10_000
 
 
 @dataclass(frozen=True)
@@ -28,16 +27,16 @@ class RankPlan:
     """How the work is cut; every plan gives the same results.
 
     ``rows_per_bucket``: rows of a value range, which is one task's work; below it a key's
-    rows are one range. ``sample_per_cut`` and ``sample_rows``: rows looked at per cut point,
-    and to guess where quantiles lie; samples choose the ranges to work in, the results
-    come from all rows. ``whole_rows``: up to so many values a column is searched whole.
+    rows are one range. ``sample_per_cut``: rows looked at per cut point; they choose the ranges
+    to work in, the results come from all rows. ``accuracy``: a sketch of all values tells a
+    quantile's place to one in so many ranks. ``whole_rows``: up to so many values a column is searched whole.
     ``least_ranges``: ranges to cut into even if the rows are few, so that small tables can
     check the plan of large ones.
     """
 
     rows_per_bucket: int = 250_000
     sample_per_cut: int = 200
-    sample_rows: int = 500_000
+    accuracy: int = 10_000
     whole_rows: int = 50_000
     least_ranges: int = 1
 
@@ -71,11 +70,15 @@ def _double(value: float) -> str:
     return f"double('{value!r}')"
 
 
-def _cut_points(df: DataFrame, order: str, rows_per_bucket: int) -> list[float]:
+def _cut_points(df: DataFrame, order: str, rows_per_bucket: int, at_most: int | None = None) -> list[float]:
     """Increasing values that cut ``df`` into ranges of about ``rows_per_bucket`` rows.
-    Only this list, one number per range, reaches the driver."""
+    Only this list, one number per range, reaches the driver. Rows are not counted where
+    ``at_most`` so many, one range, are known to be there."""
+    least = _PLAN.get().least_ranges
+    if at_most is not None and at_most <= rows_per_bucket and least < 2:
+        return []
     rows = df.count()
-    wanted = max(_PLAN.get().least_ranges, -(-rows // rows_per_bucket))
+    wanted = max(least, -(-rows // rows_per_bucket))
     if wanted < 2:
         return []
     grid = ", ".join(_double(i / wanted) for i in range(1, wanted))
@@ -107,16 +110,18 @@ def running_totals(
     *,
     descending: bool = False,
     rows_per_bucket: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Add ``before_<c>`` (sum over the rows ahead) and ``total_<c>`` (sum per key).
 
     ``order`` must be numeric and unique within a key, neither it nor the keys NULL, and
     ``df`` cheap to read again (see ``materialise``). The cut points are literals in the
     plan, so every re-run of a task puts a row into the same range. ``rows_per_bucket``
-    defaults to the ``rank_plan`` in force. Columns of ``df`` may have any names.
+    defaults to the ``rank_plan`` in force; ``at_most`` is a known bound of the rows. Columns of
+    ``df`` may have any names.
     """
     keys = list(keys)
-    cuts = _cut_points(df, order, rows_per_bucket or _PLAN.get().rows_per_bucket)
+    cuts = _cut_points(df, order, rows_per_bucket or _PLAN.get().rows_per_bucket, at_most)
     direction = F.desc(order) if descending else F.asc(order)
     zero = F.lit(0)
     if not cuts:
@@ -194,17 +199,22 @@ def exact_quantiles(
 ) -> dict[str, Quantiles]:
     """Exact, linearly interpolated quantiles of each column; NULL and NaN are skipped.
 
-    A sample first narrows every wanted rank to a small value range. Only the values in
-    those ranges are shuffled, as (value, count) pairs; for all others it is only counted
-    how many lie below a range.
-    Should a range miss its rank, that column is done again with all its values. The
-    driver sees counts per range and the values asked for, never the data.
+    One pass counts the values and summarises them in a mergeable sketch, whose error bound
+    narrows every wanted rank to a small value range. A second counts, per range, the values
+    below and inside, and a third shuffles the values inside, as (value, count) pairs; the wanted
+    ranks are picked from these. Four jobs, and three where columns are short enough to be
+    searched whole. Should a range miss its rank, that column is done again with all
+    its values. The driver sees counts per range and the values asked for, never the data.
     """
     fractions = [q if isinstance(q, Fraction) else Fraction(str(q)) for q in quantiles]
     # NaN becomes NULL once, here; aggregates then skip both.
     double = {c: f"cast({c} as double)" for c in columns}
     values = df.selectExpr(*(f"if(isnan({x}), null, {x}) AS {c}" for c, x in double.items()))
-    counts = ["count(*) AS rows", *(f"count({c}) AS count__{c}" for c in columns)]
+    accuracy = _PLAN.get().accuracy
+    slack = 3.0 / accuracy
+    around = [min(max(float(q) + d, 0.0), 1.0) for q in fractions for d in (-slack, slack)]
+    grid = f"array({', '.join(map(_double, around))})"
+    counts = [text for c in columns for text in (f"count({c}) AS count__{c}", f"percentile_approx({c}, {grid}, {accuracy}) AS near__{c}")]
     row = values.agg(*map(F.expr, counts)).first()
     sizes = {c: row[f"count__{c}"] for c in columns}
     ranks = {
@@ -217,11 +227,11 @@ def exact_quantiles(
     long = [c for c in ranks if sizes[c] > _PLAN.get().whole_rows]
     ranges = dict.fromkeys(ranks, whole)
     if long:
-        ranges.update(_likely_ranges(values, row["rows"], {c: sizes[c] for c in long}, fractions))
-    found = _values_at(values, ranks, ranges)
+        ranges.update(_likely_ranges({c: row[f"near__{c}"] for c in long}, around))
+    found = _values_at(values, ranks, ranges, sizes)
     missed = {c: r for c, r in ranks.items() if any((c, k) not in found for k in r)}
     if missed:
-        found.update(_values_at(values, missed, dict.fromkeys(missed, whole)))
+        found.update(_values_at(values, missed, dict.fromkeys(missed, whole), sizes))
 
     result = {}
     for c in columns:
@@ -245,32 +255,20 @@ def _ranks_of(n: int, q: Fraction) -> tuple[int, ...]:
 
 
 def _likely_ranges(
-    values: DataFrame, rows: int, sizes: dict[str, int], fractions: list[Fraction]
+    near: dict[str, list[float]], around: Sequence[float]
 ) -> dict[str, list[tuple[float, float]]]:
-    """Value ranges around every quantile, five standard errors of a sample wide."""
-    wanted = _PLAN.get().sample_rows
-    share = min(1.0, wanted / rows)
-    around, aggregates = {}, []
-    for c, n in sizes.items():
-        seen = max(n * share, 1.0)
-        slack = 2.0 / ACCURACY + 2.0 / seen + (2.5 / seen**0.5 if share < 1 else 0.0)
-        around[c] = [(float(q) - slack, float(q) + slack) for q in fractions]
-        bounds = (min(max(p, 0.0), 1.0) for pair in around[c] for p in pair)
-        grid = f"array({', '.join(map(_double, bounds))})"
-        aggregates.append(f"percentile_approx({c}, {grid}, {ACCURACY}) AS {c}")
-    row = _sample(values, rows, wanted).agg(*map(F.expr, aggregates)).first()
+    """Value ranges around every quantile, as wide as the sketch may err."""
     return {
         c: _disjoint(
             [
                 (
-                    float("-inf") if low <= 0 else row[c][2 * k],
-                    float("inf") if high >= 1 else row[c][2 * k + 1],
+                    float("-inf") if around[k] <= 0 else found[k],
+                    float("inf") if around[k + 1] >= 1 else found[k + 1],
                 )
-                for k, (low, high) in enumerate(around[c])
+                for k in range(0, len(around), 2)
             ]
         )
-        for c in sizes
-        if row[c] is not None
+        for c, found in near.items()
     }
 
 
@@ -278,15 +276,17 @@ def _values_at(
     values: DataFrame,
     ranks: dict[str, set[int]],
     ranges: dict[str, list[tuple[float, float]]],
+    sizes: dict[str, int],
 ) -> dict[tuple[str, int], float]:
-    """Values at the wanted ranks, as far as they lie inside the given ranges."""
+    """Values at the wanted ranks, as far as they lie inside the given ranges. ``sizes``: values
+    of each column."""
     spark = values.sparkSession
     places = {
         (c, k): f"({c} >= {_double(low)} AND {c} <= {_double(high)})"
         for c in ranks
         for k, (low, high) in enumerate(ranges[c])
     }
-    starts = _rows_below(values, {c: [low for low, _ in ranges[c]] for c in ranks})
+    starts, inside = _rows_around(values, {c: ranges[c] for c in ranks}, sizes)
     # Rows without any value in a range are dropped before anything is unpivoted.
     cells = ", ".join(
         f"named_struct('feature', '{c}', 'place', CASE "
@@ -301,17 +301,15 @@ def _values_at(
         .groupBy("feature", "place", "value")
         .agg(F.count("*").alias("n"))
     )
-    # One row per range: bounded by the ranks asked for.
-    inside = counted.groupBy("feature", "place").agg(F.sum("n").alias("n")).collect()
     targets = [
-        (r["feature"], r["place"], k, k - starts[r["feature"], r["place"]])
-        for r in inside
-        for k in ranks[r["feature"]]
-        if 0 <= k - starts[r["feature"], r["place"]] < r["n"]
+        (c, place, k, k - starts[c, place])
+        for c, place in inside
+        for k in ranks[c]
+        if 0 <= k - starts[c, place] < inside[c, place]
     ]
     if not targets:
         return {}
-    ranked = running_totals(counted, "value", ["n"], ["feature", "place"])
+    ranked = running_totals(counted, "value", ["n"], ["feature", "place"], at_most=sum(inside.values()))
     wanted = spark.createDataFrame(targets, "feature string, place int, rank long, inner long")
     hits = (
         ranked.join(F.broadcast(wanted), ["feature", "place"])
@@ -322,19 +320,21 @@ def _values_at(
     return {(r["feature"], r["rank"]): r["value"] for r in hits}
 
 
-def _rows_below(
-    values: DataFrame, bounds: dict[str, list[float]]
-) -> dict[tuple[str, int], int]:
-    """Rows below each bound, counted in one scan without a shuffle of rows."""
-    names = {
-        (c, k): f"count_if({c} < {_double(low)}) AS below__{c}__{k}"
-        for c, lows in bounds.items()
-        for k, low in enumerate(lows)
-        if low > float("-inf")
-    }
-    row = values.agg(*map(F.expr, names.values())).first() if names else {}
-    return {
-        (c, k): row[f"below__{c}__{k}"] if (c, k) in names else 0
-        for c, lows in bounds.items()
-        for k in range(len(lows))
-    }
+def _rows_around(
+    values: DataFrame, ranges: dict[str, list[tuple[float, float]]], sizes: dict[str, int]
+) -> tuple[dict[tuple[str, int], int], dict[tuple[str, int], int]]:
+    """Rows below each range and inside it, counted in one scan without a shuffle of rows.
+
+    What follows from the sizes alone is not counted."""
+    texts = {}
+    for c, found in ranges.items():
+        for k, (low, high) in enumerate(found):
+            if low > float("-inf"):
+                texts[c, k, "below"] = f"count_if({c} < {_double(low)})"
+            if high < float("inf"):
+                texts[c, k, "upto"] = f"count_if({c} <= {_double(high)})"
+    row = values.agg(*(F.expr(t) for t in texts.values())).first() if texts else ()
+    told = dict(zip(texts, row))
+    below = {(c, k): told.get((c, k, "below"), 0) for c in ranges for k in range(len(ranges[c]))}
+    inside = {(c, k): told.get((c, k, "upto"), sizes[c]) - start for (c, k), start in below.items()}
+    return below, inside
