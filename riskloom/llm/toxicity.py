@@ -24,6 +24,7 @@ from riskloom.llm.base import stored, table
 
 #: Kernel: subsequence lengths, characters they may span, weight of a skipped character.
 ORDERS, SPAN, DECAY = (3, 4), 6, 0.5
+_POWERS = DECAY ** np.arange(8)
 #: Character classes, table of feature weights, and marks for start, end and padding.
 SIGMA, TABLE = 64, 1 << 20
 START, END, PAD = 0, 61, 63
@@ -97,22 +98,24 @@ def features(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, float]]
         yield who[:n][ok], (key >> np.uint64(44)).astype(np.int64), DECAY ** (steps[-1] + 1 - len(steps))
 
 
-def norms(words: list[str]) -> np.ndarray:
-    """Length of each word's vector: a subsequence that occurs several times is one entry, with the sum
-    of its weights. Only the number of skipped characters is kept beside the entry."""
-    if len(words) > NORMED:
-        return np.concatenate([norms(words[i : i + NORMED]) for i in range(0, len(words), NORMED)])
-    keys = [((who << 20 | slot) << 3) | int(round(np.log(weight) / np.log(DECAY))) for who, slot, weight in features(words)]
-    out = np.zeros(len(words))
-    if keys:
-        key = np.sort(np.concatenate(keys))
+def lengths(found: list[tuple[np.ndarray, np.ndarray, float]], count: int) -> np.ndarray:
+    """Length of the vector of each of ``count`` words from its ``features``: a subsequence that occurs
+    several times is one entry, with the sum of its weights."""
+    out = np.zeros(count)
+    if found:
+        # Only the number of skipped characters is kept beside the entry.
+        key = np.sort(np.concatenate([((who << 20 | slot) << 3) | round(np.log(weight) / np.log(DECAY)) for who, slot, weight in found]))
         first = np.flatnonzero(np.r_[True, key[1:] >> 3 != key[:-1] >> 3])
         if len(first):
-            entry = np.add.reduceat(DECAY ** (key & 7), first)
-            out += np.bincount(key[first] >> 23, entry**2, len(words))
+            out += np.bincount(key[first] >> 23, np.add.reduceat(_POWERS[key & 7], first) ** 2, count)
     return np.sqrt(np.maximum(out, 1e-12))
 
 
+def norms(words: list[str]) -> np.ndarray:
+    parts = [words[i : i + NORMED] for i in range(0, len(words), NORMED)]
+    return np.concatenate([lengths(list(features(p)), len(p)) for p in parts]) if parts else np.zeros(0)
+
+
 def word_scores(words: list[str], weights: np.ndarray, bias: float) -> np.ndarray:
     """The machine's decision for each word; long words by their worst piece."""
     pieces, owner = [], []
@@ -121,11 +124,17 @@ def word_scores(words: list[str], weights: np.ndarray, bias: float) -> np.ndarra
         for at in range(0, max(1, len(w) - SPAN), PIECE - SPAN):
             pieces.append(w[at : at + PIECE])
             owner.append(i)
-    total = np.zeros(len(pieces))
-    for who, slot, weight in features(pieces):
-        total += np.bincount(who, weights[slot], len(pieces)) * weight
+    decided = []
+    for i in range(0, len(pieces), NORMED):
+        count = len(pieces[i : i + NORMED])
+        found = list(features(pieces[i : i + NORMED]))
+        total = np.zeros(count)
+        for who, slot, weight in found:
+            total += np.bincount(who, weights[slot], count) * weight
+        decided.append(total / lengths(found, count) + bias)
     out = np.full(len(words), -np.inf)
-    np.maximum.at(out, np.asarray(owner, np.int64), total / norms(pieces) + bias)
+    if decided:
+        np.maximum.at(out, np.asarray(owner, np.int64), np.concatenate(decided))
     return out
 
 
