@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 #: ``arrival`` of a row: the first with its id, one with a known id and other content, one without id.
 FIRST, CONFLICT, NO_ID = "first", "conflicting_repeat", "missing_id"
 REPEATS_WITHIN = timedelta(days=7)
+PER_CORE = 2
 
 
 def _rank(row: Row, names: Sequence[str]) -> tuple:
@@ -59,9 +60,13 @@ def state_settings(spark: SparkSession):
     """Session settings that a query with this state copies when it starts.
 
     The state operator needs RocksDB. Its clock is processing time, for which Spark would
-    start one empty batch after another; state is swept in the batches that have data.
+    start one empty batch after another; state is swept in the batches that have data. Every
+    state partition is a store and a Python worker of its own, so there are at most
+    PER_CORE of them for each core, as at the first start; a restart keeps their number.
     """
+    cores = spark.sparkContext.defaultParallelism
     wanted = {
+        "spark.sql.shuffle.partitions": str(min(int(spark.conf.get("spark.sql.shuffle.partitions")), PER_CORE * cores)),
         "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     }

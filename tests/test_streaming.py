@@ -15,7 +15,7 @@ from riskloom.session import materialise, new_path
 from riskloom.sources.panel import raw_panel
 from riskloom.sources.requests import attach_records, event_requests
 from riskloom.sources.tables import read_table
-from riskloom.streaming.arrivals import state_settings
+from riskloom.streaming.arrivals import PER_CORE, state_settings
 from riskloom.streaming.drift import drift_stream, read_daily_drift
 from riskloom.streaming.scoring import (
     event_stream,
@@ -187,8 +187,12 @@ def test_an_id_is_forgotten_after_its_time(spark, make, tmp_path):
 
 
 def test_the_session_keeps_its_settings(spark):
-    key = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(key)
-    with state_settings(spark):
-        assert spark.conf.get(key) == "false"
-    assert spark.conf.get(key) == before
+    keys = ("spark.sql.streaming.noDataMicroBatches.enabled", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(k) for k in keys]
+    spark.conf.set(keys[1], "200")
+    try:
+        with state_settings(spark):
+            assert [spark.conf.get(k) for k in keys] == ["false", str(PER_CORE * spark.sparkContext.defaultParallelism)]
+        assert [spark.conf.get(k) for k in keys] == [before[0], "200"]
+    finally:
+        spark.conf.set(keys[1], before[1])
