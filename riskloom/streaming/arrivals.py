@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from riskloom.streaming.sink import write_batch
 
 #: ``arrival`` of a row: the first with its id, one with a known id and other content, one without id.
 FIRST, CONFLICT, NO_ID = "first", "conflicting_repeat", "missing_id"
@@ -16,45 +18,6 @@ REPEATS_WITHIN = timedelta(days=7)
 PER_CORE = 2
 
 
-def _rank(row: Row, names: Sequence[str]) -> tuple:
-    """Order of rows with one id in one batch; nulls last."""
-    return tuple((row[n] is None, 0 if row[n] is None else row[n]) for n in names)
-
-
-class FirstArrival(StatefulProcessor):
-    """Remembers for a time what came first under an event id.
-
-    State is a hash of the content per id, dropped ``within`` after it was set. A repeat
-    with the same content is dropped; one with other content is let through as a conflict,
-    once per batch and content.
-    """
-
-    def __init__(self, names: Sequence[str], within: timedelta):
-        self.names = list(names)
-        self.within = int(within.total_seconds() * 1000)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first", "content long", ttlDurationMs=self.within)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        found = self.first.get()
-        known = None if found is None else found[0]
-        told = set()
-        for row in sorted(rows, key=lambda r: _rank(r, self.names)):
-            if known is None:
-                known, arrival = row["content"], FIRST
-                self.first.update((known,))
-            elif row["content"] == known or row["content"] in told:
-                continue
-            else:
-                arrival = CONFLICT
-            told.add(row["content"])
-            yield Row(**{n: row[n] for n in self.names}, arrival=arrival)
-
-    def close(self) -> None:
-        pass
-
-
 @contextmanager
 def state_settings(spark: SparkSession):
     """Session settings that a query with this state copies when it starts.
@@ -81,22 +44,34 @@ def state_settings(spark: SparkSession):
 
 
 def first_arrivals(
-    events: DataFrame, names: Sequence[str], key: str = "event_id", within: timedelta = REPEATS_WITHIN
+    batch: DataFrame, batch_id: int, store: str, names: Sequence[str], key: str = "event_id", within: timedelta = REPEATS_WITHIN
 ) -> DataFrame:
-    """``names`` of the stream ``events`` and ``arrival``.
+    """``names`` of the rows of one micro-batch and ``arrival``.
 
     One row with arrival FIRST per id, however often and in whichever batches it is delivered
     ``within`` that time of its first delivery; of different rows in one batch the smallest by
-    ``names`` is first. State grows with the ids of that time only, not with the stream. Time is
-    that of arrival, so no event is too late. Start the query inside ``state_settings``.
+    ``names`` is first, nulls last. A repeat with the same content is dropped; one with other
+    content is let through as CONFLICT, once per batch and content.
+
+    ``store`` holds a hash of the first content per id, in a folder per batch that a retry finds
+    again, so every batch is a join with the ids of earlier ones; those older than ``within`` are
+    not read. Time is that of arrival, so no event is too late.
     """
-    schema = events.select(*names).schema
-    declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    rows = events.select(*names, F.xxhash64(*names).alias("content"))
-    once = (
-        rows.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .transformWithState(FirstArrival(names, within), f"{declared}, arrival string", "append", "processingTime")
-    )
-    nameless = rows.filter(F.col(key).isNull()).select(*names, F.lit(NO_ID).alias("arrival"))
-    return once.unionByName(nameless)
+    spark, now = batch.sparkSession, int(time.time() * 1000)
+    rows = batch.select(*names, F.xxhash64(*names).alias("content")).distinct()
+    named = rows.filter(F.col(key).isNotNull())
+    schema = f"{key} {dict(batch.dtypes)[key]}, known long, at long, batch long"
+    since = F.col("at") > now - int(within.total_seconds() * 1000)
+
+    def kept(condition: Column) -> DataFrame:
+        return spark.read.schema(schema).option("basePath", store).parquet(f"{store}/batch=*").filter(condition)
+
+    order = [c for n in names for c in (F.col(n).isNull(), F.col(n))]
+    new = named if batch_id == 0 else named.join(kept((F.col("batch") < batch_id) & since), key, "left_anti")
+    new = new.groupBy(key).agg(F.min(F.struct(*order, "content")).getField("content").alias("known"))
+    write_batch(new.withColumn("at", F.lit(now)), f"{store}/batch={batch_id}")
+    mine = F.col("batch") == batch_id
+    told = named.join(kept(mine | ((F.col("batch") < batch_id) & since)), key).filter(mine | (F.col("content") != F.col("known")))
+    arrival = F.when(F.col("content") == F.col("known"), F.lit(FIRST)).otherwise(F.lit(CONFLICT))
+    nameless = batch.filter(F.col(key).isNull()).select(*names, F.lit(NO_ID).alias("arrival"))
+    return told.select(*names, arrival.alias("arrival")).unionByName(nameless)

@@ -22,7 +22,7 @@ from riskloom.operators.log import (
 from riskloom.operators.scoring import RECORD_FIELDS, Scorer, fixture_scorer, rejection_reasons, score_requests
 from riskloom.sources.requests import event_requests
 from riskloom.sources.tables import SCHEMAS
-from riskloom.streaming.arrivals import FIRST, REPEATS_WITHIN, first_arrivals, state_settings
+from riskloom.streaming.arrivals import FIRST, REPEATS_WITHIN, first_arrivals
 from riskloom.streaming.sink import ONCE, write_batch
 
 MONEY_FIELDS = ("limit_bal", *BILL, *PAY)
@@ -106,7 +106,7 @@ def score_stream(
 ) -> StreamingQuery:
     """Answer every event id once, under ``out/batch=<id>``; see ``answers``.
 
-    Repeats are told by state (``first_arrivals``). Under ``quarantine`` (``<out>-quarantine``)
+    Repeats are told by the ids of earlier batches, stored beside the checkpoint (``first_arrivals``). Under ``quarantine`` (``<out>-quarantine``)
     goes, whole and with its reasons, what has no result: refused requests, repeats of an id with
     other content, and events without an id; only the refused ones have an answer as well. An event
     is one message of one request, so the rules for batches of requests hold by themselves.
@@ -119,25 +119,23 @@ def score_stream(
     quarantine = quarantine or f"{out}-quarantine"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # The state operator hands its rows over once; they are looked at several times.
-        batch.persist()
-        first = batch.filter(F.col("arrival") == FIRST)
+        # Sorted out once, and looked at several times.
+        arrived = first_arrivals(batch, batch_id, f"{checkpoint}/first", EVENT_FIELDS, within=repeats_within).persist()
+        first = arrived.filter(F.col("arrival") == FIRST)
         asked = ask(event_requests(first), accounts).persist()
         results = answers(asked, threshold, model_version, scorer, keep, features)
         typed = {f: F.col(f).cast("double") for f in features if f not in keep}
         day = results.withColumns({**typed, "day": day_of("predicted_at")})
         write_batch(day, f"{out}/batch={batch_id}", ["day"])
-        odd = event_requests(batch.filter(F.col("arrival") != FIRST), "arrival").withColumnRenamed("arrival", "status")
+        odd = event_requests(arrived.filter(F.col("arrival") != FIRST), "arrival").withColumnRenamed("arrival", "status")
         odd = odd.withColumn("reasons", F.array(F.lit("event_id")))
         held = refused(asked).unionByName(odd, allowMissingColumns=True)
         write_batch(held, f"{quarantine}/batch={batch_id}")
         asked.unpersist()
-        batch.unpersist()
+        arrived.unpersist()
 
-    once = first_arrivals(events, EVENT_FIELDS, within=repeats_within)
-    writer = once.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    with state_settings(events.sparkSession):
-        return writer.trigger(**trigger).start()
+    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
 
 
 def quarantine_schema() -> str:

@@ -15,7 +15,7 @@ from riskloom.session import materialise, new_path
 from riskloom.sources.panel import raw_panel
 from riskloom.sources.requests import attach_records, event_requests
 from riskloom.sources.tables import read_table
-from riskloom.streaming.arrivals import PER_CORE, state_settings
+from riskloom.streaming.arrivals import PER_CORE, first_arrivals, state_settings
 from riskloom.streaming.drift import drift_stream, read_daily_drift
 from riskloom.streaming.scoring import (
     event_stream,
@@ -196,3 +196,19 @@ def test_the_session_keeps_its_settings(spark):
         assert [spark.conf.get(k) for k in keys] == [before[0], "200"]
     finally:
         spark.conf.set(keys[1], before[1])
+
+
+def test_first_arrivals_of_a_batch_are_a_join_with_stored_ids(spark, tmp_path):
+    def told(batch_id, *rows):
+        batch = spark.createDataFrame(list(rows), "event_id bigint, value double")
+        out = first_arrivals(batch, batch_id, str(tmp_path / "first"), ["event_id", "value"])
+        return sorted((str(r["event_id"]), str(r["value"]), r["arrival"]) for r in out.collect())
+
+    first = [("1", "1.0", "first"), ("2", "1.0", "first"), ("2", "2.0", "conflicting_repeat"), ("None", "1.0", "missing_id")]
+    rows = [(1, 1.0), (1, 1.0), (2, 2.0), (2, 1.0), (2, None), (None, 1.0)]
+    first.append(("2", "None", "conflicting_repeat"))
+    assert told(0, *rows) == sorted(first)
+    # A conflict is told in every batch it comes in, a repeat never; a retry finds its own ids again.
+    for _ in range(2):
+        assert told(1, (1, 1.0), (2, 2.0), (2, 2.0), (3, None)) == [("2", "2.0", "conflicting_repeat"), ("3", "None", "first")]
+    assert told(2, (3, None), (3, 0.0)) == [("3", "0.0", "conflicting_repeat")]
