@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from riskloom.config import CostMatrix, ModelConfig, Settings
 from riskloom.operators.clean import clean
 from riskloom.operators.evaluate import ranked_scores, ranking_metrics
+from riskloom.operators.linear import fit_penalties
 from riskloom.operators.features import features, model_columns, split_frame
 from riskloom.operators.prep import (
     apply_columns,
@@ -205,3 +206,23 @@ def test_search_prefers_the_better_setting(table):
         settings,
     )
     assert 0 < found.cv_pr_auc < 1 and set(found.params) == {"regParam"}
+
+
+def test_penalties_are_fitted_together_to_the_optimum_of_each(spark, table, monkeypatch):
+    fits = []
+    fit = training.LogisticRegression.fit
+    monkeypatch.setattr(training.LogisticRegression, "fit", lambda self, *a: fits.append(1) or fit(self, *a))
+    settings = Settings(model=ModelConfig(search_draws=2, cv_folds=2, lr_max_iter=50))
+    train = split_frame(table, "train")
+    training.search(training.logistic_candidate(settings), train, model_columns(table), settings)
+    assert len(fits) == 1  # the best setting on all rows; the folds need no fit of their own
+    rng = np.random.default_rng(1)
+    x, w = rng.normal(size=(200, 2)), rng.uniform(0.5, 2.0, 200)
+    y = (rng.random(200) < 1 / (1 + np.exp(-x[:, 0]))).astype(float)
+    rows = spark.createDataFrame([(k % 2, float(a), float(b), [float(v) for v in c]) for k, (a, b, c) in enumerate(zip(y, w, x))], "part int, y double, w double, x array<double>")
+    found = fit_penalties(rows, [[0.01, 1.0], [0.01]], 50)
+    for part, penalties in enumerate([[0.01, 1.0], [0.01]]):
+        for penalty, b in zip(penalties, found[part]):
+            s = slice(part, None, 2)
+            rest = w[s] * (1 / (1 + np.exp(-(x[s] @ b[:2] + b[2]))) - y[s])
+            assert np.abs(x[s].T @ rest / w[s].sum() + penalty * b[:2]).max() < 1e-6 and abs(rest.sum()) < 1e-4
