@@ -140,12 +140,17 @@ def with_class_weight(df: DataFrame, label: str = "default_next_month") -> DataF
     return df.withColumn("weight", F.expr(f"if({label} = 1, {positive}, {negative})"))
 
 
-def oversample_positives(df: DataFrame, label: str = "default_next_month") -> DataFrame:
-    """Repeat each positive n_neg / n_pos times (rounded), for a learner without weights."""
+def with_copies(df: DataFrame, label: str = "default_next_month") -> DataFrame:
+    """Add ``copies``: n_neg / n_pos (rounded) for a positive, 1 for a negative."""
     rows = class_weights(df, label).collect()
     copies = max(round(rows[0]["pos_weight"]), 1) if len(rows) == 2 else 1
-    repeated = F.expr(f"explode(sequence(1, if({label} = 1, {copies}, 1)))")
-    return df.select("*", repeated.alias("copy"))
+    return df.withColumn("copies", F.expr(f"if({label} = 1, {copies}, 1)"))
+
+
+def oversample_positives(df: DataFrame, label: str = "default_next_month") -> DataFrame:
+    """Repeat each positive n_neg / n_pos times (rounded), for a learner without weights."""
+    repeated = F.expr("explode(sequence(1, copies))")
+    return with_copies(df, label).select("*", repeated.alias("copy")).drop("copies")
 
 
 def stratified_folds(

@@ -10,6 +10,7 @@ import random
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 from typing import Any
 
 from pyspark.ml import Estimator, PipelineModel
@@ -22,6 +23,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -49,12 +51,13 @@ from riskloom.operators.evaluate import (
 from riskloom.operators.features import model_columns, split_frame
 from riskloom.operators.isotonic import isotonic_steps
 from riskloom.operators.linear import fit_penalties, held_linear_margins
+from riskloom.operators.network import descend, evaluate, packed_rows
 from riskloom.operators.prep import (
     Preparation,
     fit_preparation,
-    oversample_positives,
     stratified_folds,
     with_class_weight,
+    with_copies,
 )
 from riskloom.operators.scoring import Scorer, require_columns
 from riskloom.session import materialise
@@ -188,7 +191,8 @@ class PatientNetwork:
 
     It is fitted ``step`` iterations at a time, each time from where it was, until the
     average precision of the watched rows has not risen ``patience`` times or
-    ``max_iter`` is used up; the best weights win.
+    ``max_iter`` is used up; the best weights win. Rows count ``copies`` times. The weights begin and
+    end in Spark's own learner, which fits nothing here; ``operators/network.py`` does.
     """
 
     layers: list[int]
@@ -199,16 +203,17 @@ class PatientNetwork:
     patience: int = 3
 
     def fit(self, df: DataFrame, params: dict) -> MultilayerPerceptronClassificationModel:
-        learner = MultilayerPerceptronClassifier(
-            labelCol=self.label, layers=self.layers, maxIter=self.step, seed=self.seed
+        learner = MultilayerPerceptronClassifier(labelCol=self.label, layers=self.layers, maxIter=0, seed=self.seed)
+        blank = df.sparkSession.createDataFrame(
+            [(Vectors.dense([0.0] * self.layers[0]), float(k)) for k in range(self.layers[-1])], ["features", self.label]
         )
-        # Watched rows are judged as they are, once each.
-        fitting, judging = df.filter("not watched"), df.filter("watched and copy = 1")
-        best = model = None
+        fitting = packed_rows(df.filter("not watched"), self.label, "copies")
+        judging = df.filter("watched")
+        best, model = None, learner.fit(blank, params)  # the first weights, by the seed
         top, since = -math.inf, 0
         for _ in range(max(1, self.max_iter // self.step)):
-            start = {} if model is None else {learner.initialWeights: model.weights}
-            model = learner.fit(fitting, {**params, **start})
+            weights = descend(partial(evaluate, fitting, self.layers), model.weights.toArray(), self.step)
+            model = learner.fit(blank, {**params, learner.initialWeights: Vectors.dense(weights)})
             shown = model.transform(judging).select(
                 F.col(self.label).alias("y"), margin("probability").alias("p")
             )
@@ -224,7 +229,7 @@ class PatientNetwork:
 
 
 def network_candidate(settings: Settings) -> Candidate:
-    """Feed-forward network. It takes no weights, so positives are repeated instead."""
+    """Feed-forward network. Positives count as often as would balance the classes."""
 
     def estimator(d: int) -> PatientNetwork:
         return PatientNetwork(
@@ -235,7 +240,7 @@ def network_candidate(settings: Settings) -> Candidate:
         )
 
     def rows(df: DataFrame) -> DataFrame:
-        return with_watched(oversample_positives(df, settings.model.target), settings)
+        return with_watched(with_copies(df, settings.model.target), settings)
 
     return Candidate(
         "neural_network",
@@ -274,20 +279,22 @@ def search(
     columns: list[str],
     settings: Settings,
     parallelism: int = 4,
+    whole: Preparation | None = None,
 ) -> SearchResult:
     """Cross-validate a sample of settings and refit the best on all of ``train``.
 
     The preparation is fitted once per fold, on that fold's training rows only, and the
     fits of a fold share its cached input. Penalties of the linear candidate are fitted by Newton steps
     of all folds at once, a job a step. Boosting needs no statistics but bin edges and levels,
-    which all folds share, and grows all its models in step.
+    which all folds share, and grows all its models in step. ``whole`` is the preparation fitted
+    on all of ``train``, if there is one already.
     """
     model = settings.model
     judge = AveragePrecision(model.target)
     n = train.count()
 
-    def prepared(fit_on: DataFrame) -> tuple[PipelineModel, Estimator, list[dict]]:
-        prep = fit_preparation(fit_on, columns, model.nominal)
+    def prepared(fit_on: DataFrame, prep: Preparation | None = None) -> tuple[PipelineModel, Estimator, list[dict]]:
+        prep = prep or fit_preparation(fit_on, columns, model.nominal)
         numeric = candidate.numeric(prep)
         learner = candidate.estimator(_input_size(prep, numeric))
         grid = draw_settings(candidate.grid(learner, n), model.search_draws, model.seed)
@@ -295,7 +302,7 @@ def search(
 
     scores: list[list[float]] = []
     means: list[float] = []
-    stages, learner, grid = prepared(train)
+    stages, learner, grid = prepared(train, whole)
     if len(grid) > 1 and isinstance(learner, HistogramBoosting):
         folded = stratified_folds(train, model.cv_folds, model.seed, model.target)
         fitting = stages.transform(candidate.rows(materialise(folded)))
@@ -339,7 +346,10 @@ def search(
 
     means = means or [sum(s) / len(s) for s in zip(*scores)]
     best = max(range(len(means)), key=lambda i: means[i]) if means else 0
-    fitting = stages.transform(candidate.rows(train)).persist()
+    rows = candidate.rows(train)
+    added = [c for c in rows.columns if c not in train.columns]
+    # What learners read, and no more, is kept.
+    fitting = stages.transform(rows).select(model.target, *added, "features").persist()
     fitted = learner.fit(fitting, grid[best])
     fitting.unpersist()
     return SearchResult(
@@ -475,7 +485,8 @@ def train(
     parts = {name: split_frame(features, name) for name in ("train", "valid", "test")}
     judge = AveragePrecision(settings.model.target)
 
-    results = [search(c, parts["train"], columns, settings) for c in candidates]
+    whole = fit_preparation(parts["train"], columns, settings.model.nominal)
+    results = [search(c, parts["train"], columns, settings, whole=whole) for c in candidates]
     for r in results:
         r.valid_pr_auc = judge.evaluate(r.pipeline.transform(parts["valid"]))
     # On valid, not by the search score: the search has already been fitted to that one.
