@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.config import Settings
+from riskloom.operators.features import model_columns, split_frame
+from riskloom.operators.prep import fit_preparation
 from riskloom.plans.batch import build_features
 from riskloom.plans.registry import save_model
 from riskloom.plans.report import report_tables, write_reports
@@ -59,11 +63,20 @@ def run_pipeline(
     """Clean, derive, check, train each flavor, register it, and write the reports.
 
     Everything goes below ``root``: ``clean``, ``features`` (by split), ``models`` and
-    ``reports``.
+    ``reports``. The preparation is fitted once for all flavors, which train side by side: each is
+    a chain of many short jobs.
     """
     s = settings or Settings()
     table = build_features(spark, raw, f"{root}/clean", f"{root}/features", s)
-    outcomes = {flavor: train(table, candidates, s, flavor) for flavor, candidates in flavors.items()}
+    columns = model_columns(table, s.model.excluded)
+    whole = fit_preparation(split_frame(table, "train"), columns, s.model.nominal)
+    with ThreadPoolExecutor(max(1, len(flavors))) as pool:
+        # Each thread in a copy of the context, which names the owner of intermediate tables.
+        begun = {
+            flavor: pool.submit(copy_context().run, train, table, candidates, s, flavor, whole)
+            for flavor, candidates in flavors.items()
+        }
+        outcomes = {flavor: done.result() for flavor, done in begun.items()}
     versions = {f: register(spark, f"{root}/models", o, s) for f, o in outcomes.items()}
     tables = report_tables(outcomes, s)
     write_reports(tables, f"{root}/reports")

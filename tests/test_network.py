@@ -51,6 +51,35 @@ def test_descent_finds_the_least_of_a_bent_valley():
     assert list(network.descend(lambda p: (0.0, p * 0), np.ones(2), 5)) == [1, 1]
 
 
+def test_a_descent_goes_on_with_what_it_knew():
+    def look(p):
+        seen.append(p)
+        return float(np.sum(scale * (p - 1) ** 2)), 2 * scale * (p - 1)
+
+    scale, start = np.array([1.0, 10.0, 100.0, 1000.0]), np.zeros(4)
+    seen = []
+    whole = network.descend(look, start, 8)
+    looks, seen = len(seen), []
+    at = network.descent(look, start)
+    network.go_on(look, at, 3)
+    network.go_on(look, at, 5)
+    assert list(at.point) == list(whole) and len(seen) == looks
+
+
+def test_tasks_get_equal_shares_and_their_workers_stay(rows, monkeypatch):
+    monkeypatch.setattr(network, "ROWS_PACKED", 5)
+    monkeypatch.setattr(network, "ROWS_PER_TASK", 10)
+    packed = network.packed_rows(rows.repartition(1), "y", "copies").persist()
+    assert packed.rdd.getNumPartitions() == 20  # 200 rows; a multiple of the 4 cores
+    held = [r["n"] for r in packed.groupBy(F.spark_partition_id()).agg(F.sum(F.length("y") / 8).alias("n")).collect()]
+    assert sum(held) == 200 and max(held) == 10
+    calls = []
+    monkeypatch.setattr(type(packed), "first", lambda self: calls.append("first"))  # it would end the workers
+    at = MultilayerPerceptronClassifier(labelCol="y", layers=LAYERS, maxIter=0, seed=1).fit(rows.limit(2)).weights.toArray()
+    assert network.evaluate(packed, LAYERS, at)[0] > 0 and not calls
+    packed.unpersist()
+
+
 def test_positives_are_counted_and_not_repeated(rows, monkeypatch):
     fitted = []
     fit = MultilayerPerceptronClassifier.fit
