@@ -70,6 +70,55 @@ def test_exchange_raises_the_likelihood_of_a_structured_text():
     assert after > before and moved[0] == 0 and (moved[1:] > 0).all()
 
 
+def test_rare_words_are_clustered_by_their_own_neighbours(spark):
+    """All rare words have one ending; some follow "the", the others "of"."""
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"the a{a}xx of b{b}xx" for a, b in rng.integers(0, 40, (25, 2)))) for i in range(60)]
+    rows += [(1000, "the a1xx of b1xx"), (1001, "the b1xx of a1xx")]
+    got = {r["doc_id"]: r for r in brown.score(frame(spark, rows), share=0.1, k=6, passes=6).collect()}
+    assert got[1000]["score"] > got[1001]["score"] + 1
+    chunks = brown.stored(frame(spark, rows).selectExpr("doc_id", "false AS held_out", "text").mapInArrow(brown.encode, brown.ENCODED), "t")
+    totals, tokens = brown.word_totals(chunks, 0.1)
+    vocab = brown.vocabulary(totals, tokens, len(rows), 0.1)
+    counts = Counter(w for _, text in rows for w in text.split())
+    assert set(vocab.units) == {"=the", "=of", "~xx"} and vocab.rare == len(counts) - 2
+    model = brown.cluster(brown.sequences(chunks, totals, vocab), vocab, 6, 6, totals)
+    first = totals.where("first AND number >= 0").select("number", "c").toPandas()
+    rare = brown._units(first["number"].to_numpy(), vocab) - vocab.head
+    assert sorted(rare) == list(range(vocab.rare))
+    sums = np.bincount(model.classes, 10.0**model.emit, 6)
+    sums += np.bincount(model.rare[rare], (first["c"] + brown.SMOOTH) * 10.0 ** model.scale[model.rare[rare]], 6)
+    assert np.allclose(sums[np.bincount(np.r_[model.classes, model.rare], minlength=6) > 0], 1)
+
+
+def test_gains_of_rare_units_are_those_of_the_likelihood():
+    rng = np.random.default_rng(7)
+    k, units = 5, 30
+    classes = np.r_[0, 1 + rng.integers(0, k - 1, units - 1)]
+    texts = [rng.integers(1, units - 2, 6).tolist() for _ in range(80)] + [[28]] * 3 + [[29]] * (brown.FEW + 8)
+
+    def pairs(classes):
+        out = np.zeros((k, k))
+        for text in texts:
+            line = classes[[0, *text, 0]]
+            np.add.at(out, (line[:-1], line[1:]), 1)
+        return out
+
+    base = pairs(classes)
+    with_class = np.concatenate([base, base.T])[:, None, :]
+    known = brown._f(with_class + np.arange(brown.FEW + 1)[:, None]) - brown._f(with_class)
+    counts = np.zeros((2, 2 * k), np.int64)
+    counts[:, 0] = counts[:, k] = 3, brown.FEW + 8  # END alone on either side
+    got = brown._gains(counts, classes[28:], base, known)
+    for i, u in enumerate((28, 29)):
+        want = np.zeros(k)
+        for b in range(1, k):
+            moved = classes.copy()
+            moved[u] = b
+            want[b] = brown.likelihood(pairs(moved))
+        assert np.allclose(np.diff(got[i, 1:]), np.diff(want[1:]))
+
+
 def test_brown_edges(spark):
     rows = [(None, None), (1, ""), (2, "   "), (3, "one Two two"), (3, "one Two two"), (4, "w " * 30000)]
     got = brown.score(frame(spark, rows), passes=2).collect()
