@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +16,8 @@ K = 5
 BLOCK = 2048
 QUERIES = 512
 ROWS = 64
-#: Groups that the candidate blocks are dealt to; each meets every query block.
-SLICES = 64
+#: Blocks that a reader decodes at once.
+READ = 4
 LOWEST = np.iinfo(np.int64).min
 
 
@@ -60,14 +59,11 @@ def _packed(size: int):
     """Batches to packs of up to ``size`` rows, ids ascending in each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, n = TaskContext.get().partitionId(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, size):
                 part = batch.slice(at, size)
                 part = part.take(pa.array(np.argsort(np.asarray(part.column("vec_id"), np.int64), kind="stable")))
-                pack = _pack(*_postings(part))
-                n += 1
-                yield pa.RecordBatch.from_pylist([{"slice": (task * 31 + n) % SLICES} | pack])
+                yield pa.RecordBatch.from_pylist([_pack(*_postings(part))])
 
     return run
 
@@ -88,16 +84,24 @@ def best(q: dict, c: dict, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     q_from = np.append(0, q["ends"][:-1])
     shared = [(i, at[t]) for i, t in enumerate(q["terms"].tolist()) if t in at]
     width, found = len(c["ids"]), []
+    lists = {j: (c["rows"][c_from[j] : c["ends"][j]], c["weights"][c_from[j] : c["ends"][j]]) for _, j in shared}
+    for j, (cols, v) in lists.items():
+        if 4 * len(cols) >= width:  # adding a few noughts costs less than scattering the others
+            every = np.zeros(width, np.int64)
+            every[cols] = v
+            lists[j] = None, every
     for low in range(0, len(q["ids"]), ROWS):
         scores = np.zeros((min(ROWS, len(q["ids"]) - low), width), np.int64)
         for i, j in shared:
             rows = q["rows"][q_from[i] : q["ends"][i]]
             a, b = np.searchsorted(rows, (low, low + ROWS))
             rows, w = rows[a:b] - low, q["weights"][q_from[i] + a : q_from[i] + b, None]
-            cols, v = c["rows"][c_from[j] : c["ends"][j]], c["weights"][c_from[j] : c["ends"][j]]
-            if len(cols) == width and len(rows) == len(scores):
-                scores += w * v
-            elif len(cols) == width:
+            cols, v = lists[j]
+            if cols is None and 2 * len(rows) >= len(scores):
+                every = np.zeros((len(scores), 1), np.int64)
+                every[rows] = w
+                scores += every * v
+            elif cols is None:
                 scores[rows] += w * v
             else:
                 scores[rows[:, None], cols] += w * v
@@ -114,26 +118,48 @@ def best(q: dict, c: dict, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def _merged(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], k: int) -> tuple[np.ndarray, ...]:
+    """The ``k`` best of two lists of query rows, candidate ids and scores, for each query row."""
+    rows, ids, scores = (np.concatenate(x) for x in zip(a, b))
+    order = np.lexsort((ids, ~scores, rows))  # ~ turns the order without overflow
+    rows = rows[order]
+    starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.zeros(0, np.int64)
+    place = np.arange(len(rows)) - np.repeat(starts, np.diff(np.r_[starts, len(rows)]))
+    kept = order[place < k]
+    return rows[place < k], ids[kept], scores[kept]
+
+
 def _search(k: int):
+    """Pairs of blocks to the ``k`` best candidates that a task has met, for each query."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[np.ndarray, tuple[np.ndarray, ...]]] = {}
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                (row,) = batch.slice(at, 1).to_pylist()
                 q, c = _unpack(row, "q_"), _unpack(row, "")
                 r, col, score = best(q, c, k)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(q["ids"][r]), pa.array(c["ids"][col]), pa.array(score)], ["query_id", "vec_id", "score"]
-                )
+                found = r, c["ids"][col], score
+                ids, before = held.get(row["q"], (q["ids"].copy(), None))
+                held[row["q"]] = ids, found if before is None else _merged(before, found, k)
+        for ids, (r, found, score) in held.values():
+            yield pa.RecordBatch.from_arrays([pa.array(ids[r]), pa.array(found), pa.array(score)], ["query_id", "vec_id", "score"])
 
     return run
 
 
+def _blocks(rows: DataFrame, size: int, label: str) -> DataFrame:
+    """Stored packs of ``size`` rows, a few in each part that a reader decodes at once."""
+    return stored(rows.mapInArrow(_packed(size), PACK), label, **{"parquet.block.row.count.limit": READ})
+
+
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
     """Each query's ``k`` highest inner products: query_id, rank, vec_id, score.
 
     Both sides have vec_id and v, an array of whole numbers (position = term; 0 and missing
-    positions are in no posting). Query blocks are copied to SLICES groups and candidate
-    blocks to every query block; a pair of blocks is scored in one piece of bounded size,
-    and only k rows per query and block are shuffled to be merged.
+    positions are in no posting). Both are stored in blocks, and a task reads some of either side:
+    nothing is broadcast and no block is shuffled. A pair of blocks is scored in one piece of
+    bounded size, and only k rows per query and task are shuffled to be merged.
 
     A row never finds candidates of its own id; a query id given twice counts once, with its
     smallest vector. Candidates given twice are found twice. Rows without an id take no
@@ -144,18 +170,11 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
     ids = stored(ids, "queries")
     blocks = max(1, -(-ids.count() // QUERIES))
     spread = ids.repartition(blocks, "vec_id")
-    q = spread.mapInArrow(_packed(QUERIES), f"slice long, {PACK}").drop("slice")
-    q = stored(q.withColumn("q", F.monotonically_increasing_id()), "query-blocks")
-    numbers = [r["q"] for r in q.select("q").collect()]  # one number per 512 queries at most
-    if not numbers:
-        numbers = [-1]
-    c = candidates.where("vec_id IS NOT NULL").select("vec_id", "v").mapInArrow(_packed(BLOCK), f"slice long, {PACK}")
-    c = c.withColumn("q", F.explode(F.array(*[F.lit(n).cast("long") for n in numbers])))
-    q = q.select(
-        F.col("q").alias("q_q"), F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1)).cast("array<long>")).alias("q_slice"),
-        *[F.col(x.split()[0]).alias("q_" + x.split()[0]) for x in PACK.split(", ")],
-    )
-    pairs = c.join(q, (c["q"] == q["q_q"]) & (c["slice"] == q["q_slice"])).drop("q", "q_q", "slice", "q_slice")
+    q = _blocks(spread, QUERIES, "query-blocks").select(
+        F.monotonically_increasing_id().alias("q"), *[F.col(x.split()[0]).alias("q_" + x.split()[0]) for x in PACK.split(", ")]
+    )
+    c = _blocks(candidates.where("vec_id IS NOT NULL").select("vec_id", "v"), BLOCK, "candidate-blocks")
+    pairs = c.hint("shuffle_replicate_nl").crossJoin(q)  # by pairs of partitions, whatever their sizes
     found = pairs.mapInArrow(_search(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -60,6 +60,24 @@ def test_top_k_ties_nulls_and_sparse_rows(spark):
     assert topk.top_k(few.where("false"), few).count() == topk.top_k(few, few.where("false")).count() == 0
 
 
+def test_top_k_sends_no_blocks_to_the_driver(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    whole = rng.integers(-9, 10, (300, 6))
+    v = spark.createDataFrame([(i, w.tolist()) for i, w in enumerate(whole)], "vec_id long, v array<long>").repartition(3)
+    monkeypatch.setattr(topk, "BLOCK", 32)
+    monkeypatch.setattr(topk, "QUERIES", 8)
+    found = topk.top_k(v.where("vec_id % 5 = 0"), v, 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan
+    got = defaultdict(list)
+    for r in found.orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    assert set(got) == set(range(0, 300, 5))
+    for q, best in got.items():
+        scores = sorted((-int(whole[q] @ w), i) for i, w in enumerate(whole) if i != q)[:3]
+        assert best == [(i, -s) for s, i in scores]
+
+
 def records(data):
     return [x for x in warc.salvage(data) if x[0] == "record"], [x for x in warc.salvage(data) if x[0] == "gap"]
 
